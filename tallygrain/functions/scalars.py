@@ -24,21 +24,16 @@ def violation_minute(c) -> Column:
     ``1620P`` keep their afternoon hour.
     """
     text = F.rtrim(_col(c))
-    hour = F.try_to_number(F.left(text, F.lit(2)), F.lit("99")).cast("int")
-    minute = F.try_to_number(F.substring(text, 3, 2), F.lit("99")).cast("int")
-    half = F.right(text, F.lit(1))
-    valid = text.rlike("^[0-9]{4}[AP]$") & (hour < 24) & (minute < 60)
-    return F.when(valid, (hour % 12 + F.when(half == "P", 12).otherwise(0)) * 60 + minute)
+    hour = F.left(text, F.lit(2)).try_cast("int") % 12
+    minute = F.substring(text, 3, 2).try_cast("int")
+    afternoon = (F.right(text, F.lit(1)) == "P").cast("int")
+    return F.when(text.rlike("^([01][0-9]|2[0-3])[0-5][0-9][AP]$"), (hour + 12 * afternoon) * 60 + minute)
 
 
-def violation_clock(c) -> Column:
-    """The same as text ``HH:mm``."""
-    minute = violation_minute(c)
-    return F.format_string("%02d:%02d", F.floor(minute / 60), minute % 60)
-
-
-def violation_clock_guarded(c) -> Column:
-    return F.when(violation_minute(c).isNotNull(), violation_clock(c))
+def clock(minute) -> Column:
+    """Minute of the day as text ``HH:mm``, NULL for NULL."""
+    value = _col(minute)
+    return F.concat_ws(":", F.lpad(F.floor(value / 60).cast("string"), 2, "0"), F.lpad((value % 60).cast("string"), 2, "0"))
 
 
 # Six bins of four hours.
@@ -65,8 +60,10 @@ def bin_label(c, bins: Sequence[tuple], closed: str = "both", otherwise: str | N
     return label if otherwise is None else label.otherwise(otherwise)
 
 
-def hour_bin(c, otherwise: str = "unknown") -> Column:
-    return bin_label(c, HOUR_BINS, otherwise=otherwise)
+def hour_bin(minute, otherwise: str = "unknown") -> Column:
+    """Four-hour bin of a minute of the day, by position so that the minute is computed once."""
+    names = F.array(*[F.lit(name) for _, _, name in HOUR_BINS])
+    return F.coalesce(F.get(names, F.floor(_col(minute) / 240).cast("int")), F.lit(otherwise))
 
 
 def season(c, scheme: str = "title") -> Column:

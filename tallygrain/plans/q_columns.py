@@ -82,7 +82,7 @@ def _(t):
 def _(t):
     tips = t.fares.groupBy(scalars.bin_label("tip", scalars.TIP_BINS, "left", "Bucket_5").alias("bin")).agg(F.count("*").alias("n"))
     hours = t.tickets.groupBy(
-        scalars.hour_bin(F.floor(scalars.violation_minute("violation_time") / 60)).alias("bin")).agg(F.count("*").alias("n"))
+        scalars.hour_bin(scalars.violation_minute("violation_time")).alias("bin")).agg(F.count("*").alias("n"))
     return tips.select(F.lit("tip").alias("kind"), "bin", "n").unionByName(hours.select(F.lit("hour").alias("kind"), "bin", "n"))
 
 
@@ -205,8 +205,8 @@ def _(t):
     SELECT summons, violation_time, CASE WHEN violation_time IS NOT NULL THEN hour(ts) * 60 + minute(ts) END AS minute_of_day,
            CASE WHEN violation_time IS NOT NULL THEN strftime(ts, '%H:%M') END AS clock FROM tickets""", ("tickets",))
 def _(t):
-    return t.tickets.select("summons", "violation_time", scalars.violation_minute("violation_time").cast("bigint").alias("minute_of_day"),
-                            scalars.violation_clock_guarded("violation_time").alias("clock"))
+    timed = t.tickets.select("summons", "violation_time", scalars.violation_minute("violation_time").cast("bigint").alias("minute_of_day"))
+    return timed.withColumn("clock", F.when(F.col("minute_of_day").isNotNull(), scalars.clock("minute_of_day")))
 
 
 @query("fn_to_date", "SELECT summons, strftime(ts, '%Y-%m-%d') AS issued FROM tickets", ("tickets",))
