@@ -4,43 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_WORK = ["_key", "_cuts", "_slot", "_sub", "_before", "_total"]
+from tallygrain.operators.cuts import BUCKETS, assign, cut_points
 
+_WORK = ["_key", "_slot", "_sub", "_before", "_total"]
 
-def _slotted(df: DataFrame, key: Column, tie: str | None, buckets: int) -> DataFrame:
+
+def _slotted(df: DataFrame, key: str, tie: str | None, descending: bool, buckets: int) -> DataFrame:
     """Place rows in slots whose order agrees with (key, tie) and whose size is bounded.
 
-    Approximate cut points divide the key. A value that is itself a cut point, possibly a very
-    frequent one, gets a slot of its own, and such single-valued slots are divided further by cut
-    points of the tie-breaking column. NULL keys come last. Cut points reach the plan through a
-    scalar subquery; they affect balance only, never the result.
+    Cut points divide the key into ranges. A value that is itself a cut point, possibly a very
+    frequent one, gets a slot of its own, and such single-valued slots are divided further by ranges
+    of the tie-breaking column. NULL keys come last.
     """
-    keyed = df.withColumn("_key", key)
-    steps = [i / buckets for i in range(1, buckets)]
-    cut = [F.percentile_approx("_key", steps, 10 * buckets).alias("k")]
+    keyed = df.withColumn("_key", -F.col(key).cast("double") if descending else F.col(key).cast("double"))
     if tie is not None:
-        cut.append(F.percentile_approx(tie, steps, 10 * buckets).alias("t"))
-    placed = keyed.withColumn("_cuts", keyed.agg(F.struct(*cut).alias("cuts")).scalar())
-    on_cut = F.coalesce(F.array_contains("_cuts.k", F.col("_key")), F.lit(False))
-    below = F.expr("size(filter(_cuts.k, c -> c < _key))") * 2
-    placed = placed.withColumn("_slot", F.when(F.col("_key").isNull(), 2 * buckets + 2).otherwise(below + on_cut.cast("int")))
-    if tie is None:
-        return placed.withColumn("_sub", F.lit(0))
+        keyed = keyed.withColumn("_sub", F.col(tie).cast("double"))
+    cuts = cut_points(keyed, ["_key", "_sub"] if tie is not None else ["_key"], buckets)
+    placed = assign(keyed, cuts)
+    on_cut = F.coalesce(F.col("_key").isin(cuts["_key"]), F.lit(False)) if cuts["_key"] else F.lit(False)
+    slot = F.when(F.col("_key").isNull(), 2 * buckets + 2).otherwise(2 * F.col("_key_range") + F.when(on_cut, 0).otherwise(1))
     single = on_cut | F.col("_key").isNull()
-    return placed.withColumn("_sub", F.when(single, F.expr(f"size(filter(_cuts.t, c -> c < `{tie}`))")).otherwise(0))
+    sub = F.when(single, F.col("_sub_range")).otherwise(0) if tie is not None else F.lit(0)
+    return placed.withColumns({"_slot": slot, "_sub": sub}).drop("_key_range", "_sub_range")
 
 
-def global_row_number(df: DataFrame, score: str, tie: str, descending: bool = False, out: str = "row_number", buckets: int = 64) -> DataFrame:
+def global_row_number(df: DataFrame, score: str, tie: str, descending: bool = False, out: str = "row_number", buckets: int = BUCKETS) -> DataFrame:
     """Exact 1-based row number by (score, tie) over the whole frame, plus the row count as ``<out>_of``.
 
-    ``score`` and ``tie`` are numeric and ``tie`` is unique.
+    ``score`` and ``tie`` are numeric and ``tie`` is unique. The frame is read twice more than once
+    (cut points, slot sizes), so an expensive one should be materialized by the caller.
     """
-    key = -F.col(score) if descending else F.col(score)
-    placed = _slotted(df, key, tie, buckets)
+    placed = _slotted(df, score, tie, descending, buckets)
     sizes = placed.groupBy("_slot", "_sub").agg(F.count("*").alias("_rows"))
+    # one row per slot: bounded by the number of cut points, whatever the data
     upto = Window.orderBy("_slot", "_sub").rowsBetween(Window.unboundedPreceding, 0)
     starts = sizes.select(
         "_slot", "_sub",
@@ -49,9 +48,9 @@ def global_row_number(df: DataFrame, score: str, tie: str, descending: bool = Fa
     )
     inside = Window.partitionBy("_slot", "_sub").orderBy("_key", tie)
     return (
-        placed.join(starts, ["_slot", "_sub"])
-        .withColumn(out, F.col("_before") + F.row_number().over(inside))
-        .withColumn(f"{out}_of", F.col("_total"))
+        placed.withColumn(out, F.row_number().over(inside))
+        .join(F.broadcast(starts), ["_slot", "_sub"])
+        .withColumns({out: F.col("_before") + F.col(out), f"{out}_of": F.col("_total")})
         .drop(*_WORK)
     )
 
@@ -68,10 +67,11 @@ def ntile(df: DataFrame, groups: int, score: str, tie: str, descending: bool = F
     return numbered.withColumn(out, tile.cast("int")).drop("_rn", "_rn_of")
 
 
-def running_totals(df: DataFrame, key: str, sums: Sequence[str], descending: bool = False, buckets: int = 64) -> DataFrame:
+def running_totals(df: DataFrame, key: str, sums: Sequence[str], descending: bool = False, buckets: int = BUCKETS) -> DataFrame:
     """Add ``cum_<c>`` and ``all_<c>`` for every column in ``sums``; ``key`` is unique per row."""
-    placed = _slotted(df, -F.col(key) if descending else F.col(key), None, buckets)
+    placed = _slotted(df, key, None, descending, buckets)
     sizes = placed.groupBy("_slot").agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
+    # one row per slot: bounded by the number of cut points, whatever the data
     upto = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
     starts = sizes.select(
         "_slot",
@@ -79,7 +79,8 @@ def running_totals(df: DataFrame, key: str, sums: Sequence[str], descending: boo
         *[F.sum(f"_sum_{c}").over(Window.partitionBy()).alias(f"all_{c}") for c in sums],
     )
     inside = Window.partitionBy("_slot").orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
-    joined = placed.join(starts, "_slot")
-    return joined.withColumns({f"cum_{c}": F.col(f"_before_{c}") + F.sum(c).over(inside) for c in sums}).drop(
+    local = placed.withColumns({f"cum_{c}": F.sum(c).over(inside) for c in sums})
+    joined = local.join(F.broadcast(starts), "_slot")
+    return joined.withColumns({f"cum_{c}": F.col(f"_before_{c}") + F.col(f"cum_{c}") for c in sums}).drop(
         *_WORK, *[f"_before_{c}" for c in sums]
     )

@@ -195,10 +195,11 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
     )
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(list(by), list(columns), "column_name", "v")
+    # without groups the limits are one row per column
+    limits = five.select(*by, "column_name", (F.col("q1") - reach).alias("_lo"), (F.col("q3") + reach).alias("_hi"))
     outliers = (
-        long.groupBy(*by, "column_name", "v").agg(F.count("*").alias("n"))
-        .join(five, [*by, "column_name"])
+        long.join(limits if by else F.broadcast(limits), [*by, "column_name"])
         .groupBy(*by, "column_name")
-        .agg(F.sum(F.when((F.col("v") < F.col("q1") - reach) | (F.col("v") > F.col("q3") + reach), F.col("n")).otherwise(0)).alias("outliers"))
+        .agg(F.count_if((F.col("v") < F.col("_lo")) | (F.col("v") > F.col("_hi"))).alias("outliers"))
     )
     return five.join(outliers, [*by, "column_name"])

@@ -1,4 +1,4 @@
-"""Exact quantiles that never bring one group's values into one task."""
+"""Exact quantiles that neither shuffle a whole column nor bring one group's values into one task."""
 
 from __future__ import annotations
 
@@ -7,44 +7,49 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallygrain.operators.cuts import BUCKETS, assign, cut_points
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), buckets: int = 64) -> DataFrame:
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
     """Interpolated quantiles (type 7) in long form: (by..., column_name, prob, value).
 
-    Equal values are first merged to (value, count), which absorbs any heavy value. Approximate cut
-    points then place the distinct values in buckets of similar size, bucket totals give the rank at
-    which each bucket begins, and only buckets that hold a wanted rank are sorted. The cut points
-    steer the balance of work only; the result is exact. NULL values and NULL groups are left out.
+    A sketch over each column gives cut points that split it into ranges of similar size. Counts per
+    range, combined before the shuffle, tell the rank at which every range begins and so which ranges
+    hold a wanted rank. Only rows of those ranges are shuffled, merged to (value, count), and ordered;
+    a range holds about 1/buckets of all rows besides one possibly heavy value, which the merge
+    reduces to a single row. NULL values and NULL groups are left out.
     """
     by = list(by)
     keys = [*by, "column_name"]
-    long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(by, list(columns), "column_name", "value")
+    placed = assign(df, cut_points(df, columns, buckets))
+    cells = F.array(
+        *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"), F.col(f"{c}_range").alias("range")) for c in columns]
+    )
+    long = placed.select(*by, F.inline(cells))
     for name in [*by, "value"]:
         long = long.where(F.col(name).isNotNull())
-    counts = long.groupBy(*keys, "value").agg(F.count("*").alias("n"))
-    steps = [i / buckets for i in range(1, buckets)]
-    cuts = counts.groupBy(*keys).agg(F.sum("n").alias("total"), F.percentile_approx("value", steps, 10 * buckets).alias("cuts"))
-    placed = counts.join(cuts, keys).select(
-        *keys, "value", "n", "total", F.expr("size(filter(cuts, c -> c < value))").alias("bucket")
+    sizes = long.groupBy(*keys, "range").agg(F.count("*").alias("rows"))
+    upto = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
+    starts = sizes.withColumns(
+        {"before": F.sum("rows").over(upto) - F.col("rows"), "total": F.sum("rows").over(Window.partitionBy(*keys))}
     )
-    sizes = placed.groupBy(*keys, "bucket").agg(F.sum("n").alias("rows"), F.max("total").alias("total"))
-    upto = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    starts = sizes.withColumn("before", F.sum("rows").over(upto) - F.col("rows"))
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-    # ranks (from 0) that an interpolated quantile touches
+    # ranks (from 0) that an interpolated quantile touches, gathered per range
     position = (F.col("total") - 1) * F.col("prob")
-    ranks = (
-        starts.select(*keys, "bucket", "before", "rows", "total", F.explode(wanted).alias("prob"))
+    wanted = (
+        starts.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
         .withColumn("part", position - F.floor(position))
         .withColumn("rank", F.explode(F.array(F.floor(position), F.ceil(position))))
         .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("rows")))
-        .groupBy(*keys, "bucket", "before")
+        .groupBy(*keys, "range", "before")
         .agg(F.collect_set(F.struct("prob", "part", "rank")).alias("ranks"))
     )
-    within = Window.partitionBy(*keys, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    if not by:
+        # at most two ranges per column and probability
+        wanted = F.broadcast(wanted)
+    within = Window.partitionBy(*keys, "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    merged = long.join(wanted.select(*keys, "range"), [*keys, "range"], "left_semi").groupBy(*keys, "range", "value").agg(F.count("*").alias("n"))
     picked = (
-        placed.select(*keys, "bucket", "value", "n")
-        .join(ranks, [*keys, "bucket"])
+        merged.join(wanted, [*keys, "range"])
         .withColumn("stop", F.col("before") + F.sum("n").over(within))
         .withColumn("hit", F.explode(F.expr("filter(ranks, r -> r.rank >= stop - n and r.rank < stop)")))
     )

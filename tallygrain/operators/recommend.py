@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallygrain.session import materialize
+
 SIM_DIGITS = 9
 RATING_DIGITS = 6
 
@@ -205,15 +207,18 @@ def eval_topn(recs: DataFrame, withheld: DataFrame, seen: DataFrame, items: Data
     ``recs`` (user, item, rank), ``withheld`` (user, item, rating), ``seen`` (user, given count).
     """
     total_items = items.agg(F.countDistinct("item")).scalar()
-    listed = recs.groupBy("user").agg(F.count("*").alias("listed"))
-    hit = withheld.join(recs.select("user", "item", "rank"), ["user", "item"], "left")
+    # one short list per user, no longer than the longest n
+    lists = recs.groupBy("user").agg(F.collect_list(F.struct("item", "rank")).alias("recs"))
     per_user = (
-        hit.select("user", (F.col("rating") >= good).cast("int").alias("wanted"), "rank")
-        .join(listed, "user", "left").join(seen, "user")
+        withheld.join(seen, "user").join(lists, "user", "left")
+        .select(
+            "user", "given", (F.col("rating") >= good).cast("int").alias("wanted"), F.greatest(F.size("recs"), F.lit(0)).alias("listed"),
+            F.expr("get(filter(recs, r -> r.item = item), 0).rank").alias("rank"),
+        )
         .withColumn("n", F.explode(F.array(*[F.lit(int(n)) for n in ns])))
     )
     tp = F.when(F.col("rank") <= F.col("n"), F.col("wanted")).otherwise(0)
-    fp = F.least(F.coalesce(F.col("listed"), F.lit(0)), F.col("n")) - tp
+    fp = F.least("listed", "n") - tp
     fn = F.col("wanted") - tp
     tn = total_items - F.col("given") - tp - fp - fn
     sums = per_user.groupBy("n").agg(*[F.sum(e).alias(name) for name, e in [("tp", tp), ("fp", fp), ("fn", fn), ("tn", tn)]])
@@ -234,7 +239,8 @@ def evaluate(ratings: DataFrame, fold: Callable[[Column], Column], test_folds: S
 
     One test fold is the split scheme; all folds as test folds is cross-validation, in one pass.
     """
-    marked = withhold_one(ratings)
+    ratings = materialize(ratings, "ratings")
+    marked = materialize(withhold_one(ratings), "ratings-withheld")
     test = marked.where(fold(F.col("user")).isin(list(test_folds)))
     given, withheld = test.where(~F.col("withheld")).select("user", "item", "rating"), test.where("withheld").select("user", "item", "rating")
     single = len(test_folds) == 1

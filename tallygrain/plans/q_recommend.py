@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallygrain.operators import recommend as rec, relational as rel
@@ -163,18 +164,18 @@ def _given_train(t):
 
 @query("rec_ubcf", "+" + MODELS + "," + ubcf_sql("gz", "tz") + """
 ---
-    SELECT "user", item, round(predicted, 4) AS predicted FROM up WHERE predicted IS NOT NULL""", ("ratings",))
+    SELECT "user", item, predicted FROM up WHERE predicted IS NOT NULL""", ("ratings",))
 def _(t):
     given, train = _given_train(t)
-    return rec.ubcf(given, train, NEIGHBOURS, OVERLAP).withColumn("predicted", F.round("predicted", 4))
+    return rec.ubcf(given, train, NEIGHBOURS, OVERLAP)
 
 
 @query("rec_ibcf", "+" + MODELS + "," + ibcf_sql("gz", "tz") + """
 ---
-    SELECT "user", item, round(predicted, 4) AS predicted FROM ip WHERE predicted IS NOT NULL""", ("ratings",))
+    SELECT "user", item, predicted FROM ip WHERE predicted IS NOT NULL""", ("ratings",))
 def _(t):
     given, train = _given_train(t)
-    return rec.ibcf(given, train, ITEMS_KEPT, OVERLAP).withColumn("predicted", F.round("predicted", 4))
+    return rec.ibcf(given, train, ITEMS_KEPT, OVERLAP)
 
 
 @query("rec_topn", "+" + ACTIVE + "," + z_of("rz", "SELECT * FROM r") + "," + ubcf_sql("rz", "rz") + f"""
@@ -205,6 +206,7 @@ def _(t):
 def _(t):
     """Points of both curves, and the model with the larger mean distance from the diagonal."""
     points = rec.evaluate(active(t), rec.split_fold(75), [0], NS, NEIGHBOURS, ITEMS_KEPT).select("algorithm", "n", "tpr", "fpr")
-    mean = points.groupBy("algorithm").agg(F.round(F.avg(F.col("tpr") - F.col("fpr")), 6).alias("gap"))
-    best = mean.agg(F.max_by("algorithm", F.struct("gap", "algorithm"))).scalar()
-    return points.withColumn("chosen", F.col("algorithm") == best)
+    # two algorithms times six list lengths
+    gap = F.round(F.avg(F.col("tpr") - F.col("fpr")).over(Window.partitionBy("algorithm")), 6)
+    best = F.max(F.struct("gap", "algorithm")).over(Window.partitionBy())
+    return points.withColumn("gap", gap).withColumn("chosen", F.col("algorithm") == best["algorithm"]).drop("gap")

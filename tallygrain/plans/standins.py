@@ -11,6 +11,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallygrain.session import materialize
+
 RETAIL_END = "2001-08-01"
 RATED_USERS_MIN = 45
 RATED_ITEMS_MIN = 70
@@ -194,7 +196,7 @@ class Tables:
     def scored(self) -> DataFrame:
         """Employees with a stored score in steps of a thousandth, so that ties occur."""
         raw = 1 / (1 + F.exp(F.col("n_lines") / 20 - F.col("n_words") / 300 + F.col("toxic") - 0.5))
-        return self.emp.select("doc_id", "target", F.round(raw, 3).alias("score"))
+        return materialize(self.emp.select("doc_id", "target", F.round(raw, 3).alias("score")), "scores")
 
     # --- retail ----------------------------------------------------------------
 

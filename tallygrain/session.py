@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every query relies on. Skewed join partitions are split by AQE even where
 # that costs one more exchange, because a single key may hold a large share of the rows.
@@ -61,11 +61,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Let ``DataFrame.checkpoint()`` write to the same shared folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if base:
-            spark.sparkContext.setCheckpointDir(base)
-        else:
-            scratch_path(spark, "probe")
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame that several later steps read to the shared folder, and read it back.
+
+    The table outlives lost executors, cuts the lineage, keeps column pruning, and gives the
+    optimizer true sizes for its choice of join.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
