@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrain.operators.cuts import BUCKETS, assign, cut_points
+from tallygrain.session import materialize
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
@@ -43,9 +44,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         .groupBy(*keys, "range", "before")
         .agg(F.collect_set(F.struct("prob", "part", "rank")).alias("ranks"))
     )
-    if not by:
-        # at most two ranges per column and probability
-        wanted = F.broadcast(wanted)
+    # read twice below; as a table its size is known and decides how it is joined
+    wanted = materialize(wanted, "ranks")
     within = Window.partitionBy(*keys, "range").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     merged = long.join(wanted.select(*keys, "range"), [*keys, "range"], "left_semi").groupBy(*keys, "range", "value").agg(F.count("*").alias("n"))
     picked = (
