@@ -90,7 +90,7 @@ def _multiply(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
 
 
 def pair_sums(left: DataFrame, right: DataFrame, row: str, column: str, value: str, fold: Callable[[Column], Column] | None = None,
-              block_rows: int = 512, block_columns: int = 4096) -> DataFrame:
+              block_rows: int = 1024, block_columns: int = 4096) -> DataFrame:
     """(a, b, dot, aa, bb, n [, fold]) over common columns for pairs of a row of ``left`` and a row of ``right``.
 
     With ``fold``, a function of the column key, sums are kept apart per fold.

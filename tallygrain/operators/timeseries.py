@@ -16,6 +16,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallygrain.operators.ordering import running_totals
+from tallygrain.operators.relational import top_k
+
 Keys = Sequence[str]
 
 
@@ -59,9 +62,11 @@ def stable_segments(df: DataFrame, keys: Keys, profit: str, k: int) -> DataFrame
     groups = df.groupBy(*keys).agg(
         F.sum(profit).cast("double").alias("profit"), F.round(100 * F.stddev_samp(value) / F.avg(value), 4).alias("cv")
     )
-    # one row per segment from here on
-    ranked = groups.withColumn("profit_rank", F.rank().over(Window.orderBy(F.desc("profit"))).cast("bigint"))
-    return ranked.withColumn("stability_rank", F.rank().over(Window.orderBy("cv")).cast("bigint")).where(F.col("stability_rank") <= k)
+    stable = top_k(groups.withColumn("_calm", -F.col("cv")), [], "_calm", k, "rank").drop("_calm")
+    by_profit = running_totals(groups.groupBy("profit").agg(F.count("*").alias("n")), "profit", ["n"], descending=True)
+    ranks = by_profit.select("profit", (F.col("cum_n") - F.col("n") + 1).alias("profit_rank"))
+    # k rows and their ties from here on
+    return stable.join(ranks, "profit").withColumn("stability_rank", F.rank().over(Window.orderBy("cv")).cast("bigint"))
 
 
 # --- smoothing -----------------------------------------------------------------

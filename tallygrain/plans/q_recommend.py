@@ -194,7 +194,24 @@ def _(t):
     return rec.evaluate(active(t), rec.split_fold(75), [0], NS, NEIGHBOURS, ITEMS_KEPT)
 
 
-@query("rec_eval_kfold")
+FOLD = BUCKET.format(key='{}."user"', n=5)
+FOLDS = ACTIVE + f""",
+    w AS (SELECT "user", arg_max(item, md5("user"::VARCHAR || ':' || item::VARCHAR)) AS out FROM r GROUP BY 1),
+    roles AS (SELECT "user", item, rating, CASE WHEN item = out THEN 'withheld' ELSE 'given' END AS role FROM r JOIN w USING ("user")),""" + (
+    z_of("gz", "SELECT * FROM roles WHERE role = 'given'") + "," + z_of("tz", "SELECT * FROM r") + ","
+    + ubcf_sql("gz", "tz", f"{FOLD.format('g')} <> {FOLD.format('t')}") + f""",
+    js AS (SELECT f, g.item AS a, t.item AS b, {COS} AS sim FROM (SELECT unnest(range(5)) AS f) JOIN tz g ON {FOLD.format('g')} <> f
+           JOIN tz t ON g."user" = t."user" AND g.item <> t.item GROUP BY 1, 2, 3 HAVING count(*) >= 2),
+    jn AS (SELECT * FROM js WHERE sim IS NOT NULL QUALIFY row_number() OVER (PARTITION BY f, a ORDER BY sim DESC, b) <= 30),
+    ip AS ({BACK} FROM (SELECT g."user", jn.a AS item, sim, g.z, mean, sd FROM gz g JOIN jn ON g.item = jn.b AND jn.f = {FOLD.format('g')}) p
+           WHERE NOT EXISTS (SELECT 1 FROM gz s WHERE s."user" = p."user" AND s.item = p.item) GROUP BY 1, 2),
+    e AS ({eval_sql('ubcf', 'up')} UNION ALL {eval_sql('ibcf', 'ip')}),
+    rates AS (SELECT {RATES} FROM e)""")
+
+
+@query("rec_eval_kfold", "+" + FOLDS + """
+---
+    SELECT * FROM rates""", ("ratings",))
 def _(t):
     """The same evaluation by five-fold cross-validation over users."""
     return rec.evaluate(active(t), rec.k_fold(5), [0, 1, 2, 3, 4], NS, NEIGHBOURS, ITEMS_KEPT)

@@ -69,16 +69,24 @@ def _(t):
     return frame.withColumn("text", back)
 
 
-@query("src_multi_period", """
-    SELECT year(o_orderdate) AS period, o_orderstatus, count(*) AS n FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 1997 GROUP BY 1, 2""")
+@query("src_object_store", "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders")
 def _(t):
-    """One file per year, read together with the year as a key of every group."""
+    """The same reader with a full URI; object stores and HDFS differ only in the scheme."""
+    path = scratch_path(t.spark, "orders-uri")
+    uri = path if "://" in path else f"file://{path}"
+    writers.write_csv(t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority"), uri)
+    return readers.read_delimited(t.spark, uri, T.StructType.fromDDL("o_orderkey bigint, o_totalprice double, o_orderpriority string"))
+
+
+@query("src_multi_period", "SELECT year(o_orderdate) AS period, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2")
+def _(t):
+    """One file set per year, written in one pass, read together with the year as a key of every group."""
     schema = T.StructType.fromDDL("o_orderkey bigint, o_orderstatus string, o_totalprice double")
-    paths = {}
-    for year in [1995, 1996, 1997]:
-        paths[year] = scratch_path(t.spark, f"orders-{year}")
-        writers.write_csv(t.orders.where(F.year("o_orderdate") == year).select(*schema.names), paths[year])
-    tagged = readers.read_periods(t.spark, paths, schema, "period")
+    path = scratch_path(t.spark, "orders-by-year")
+    dated = t.orders.select(*schema.names, F.year("o_orderdate").alias("period"))
+    dated.write.partitionBy("period").option("header", True).csv(path)
+    years = [r.period for r in dated.select("period").distinct().collect()]
+    tagged = readers.read_periods(t.spark, {year: f"{path}/period={year}" for year in years}, schema, "period")
     return tagged.groupBy("period", "o_orderstatus").agg(F.count("*").alias("n"))
 
 
@@ -123,11 +131,10 @@ def _(t):
 
 
 @query("sink_csv_indexed", """
-    SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS "index", o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'""")
+    SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS "index", o_orderkey, o_totalprice FROM orders""")
 def _(t):
     path = scratch_path(t.spark, "orders-indexed")
-    finished = t.orders.where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_totalprice")
-    writers.write_csv_indexed(finished, path, "o_orderkey")
+    writers.write_csv_indexed(t.orders.select("o_orderkey", "o_totalprice"), path, "o_orderkey")
     return readers.read_delimited(t.spark, path, T.StructType.fromDDL("index bigint, o_orderkey bigint, o_totalprice double"))
 
 

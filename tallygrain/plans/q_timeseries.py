@@ -151,7 +151,20 @@ def _(t):
     return rounded(ts.acf(residuals(t), KEYS, "e"), 6)
 
 
-@query("ts_pacf")
+# Partial autocorrelations as a recursion over coefficient lists.
+PACF = """,
+    rho AS (SELECT market, list(acf ORDER BY lag) AS rho FROM (
+              SELECT a.market, b.t - a.t AS lag, sum(a.e * b.e) / any_value(s.c0) AS acf FROM c a JOIN c b ON a.market = b.market AND b.t - a.t BETWEEN 1 AND 12
+              JOIN (SELECT market, sum(e * e) AS c0 FROM c GROUP BY market) s ON s.market = a.market GROUP BY 1, 2) GROUP BY market),
+    levels AS (SELECT market, rho, 1 AS lag, [rho[1]] AS phi FROM rho
+               UNION ALL SELECT market, rho, lag + 1, list_append(list_transform(range(1, lag + 1), lambda j: phi[j] - v * phi[lag + 1 - j]), v)
+               FROM (SELECT *, (rho[lag + 1] - list_dot_product(phi, list_reverse(rho[1:lag]))) / (1 - list_dot_product(phi, rho[1:lag])) AS v
+                     FROM levels WHERE lag < 12))"""
+
+
+@query("ts_pacf", "+R" + RESIDUALS + PACF + """
+---
+    SELECT market, lag, round(phi[lag], 6) + 0.0 AS pacf FROM levels""", ("series",))
 def _(t):
     return rounded(ts.pacf(residuals(t), KEYS, "e"), 6)
 
