@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrain.operators.quantiles import exact_quantiles
+from tallygrain.session import materialize
 
 
 @dataclass(frozen=True)
@@ -193,12 +194,12 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
         .agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for p, n in
                [(0.0, "low"), (0.25, "q1"), (0.5, "median"), (0.75, "q3"), (1.0, "high")]])
     )
+    five = materialize(five, "five-numbers")
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(list(by), list(columns), "column_name", "v")
-    # without groups the limits are one row per column
     limits = five.select(*by, "column_name", (F.col("q1") - reach).alias("_lo"), (F.col("q3") + reach).alias("_hi"))
     outliers = (
-        long.join(limits if by else F.broadcast(limits), [*by, "column_name"])
+        long.join(limits, [*by, "column_name"])
         .groupBy(*by, "column_name")
         .agg(F.count_if((F.col("v") < F.col("_lo")) | (F.col("v") > F.col("_hi"))).alias("outliers"))
     )

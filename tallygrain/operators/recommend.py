@@ -28,17 +28,18 @@ def min_activity(ratings: DataFrame, n_user: int, n_item: int) -> DataFrame:
     """Ratings of users and items with enough ratings, both counted before any filter; counts kept."""
     users = ratings.groupBy("user").agg(F.count("*").alias("user_ratings")).where(F.col("user_ratings") >= n_user)
     items = ratings.groupBy("item").agg(F.count("*").alias("item_ratings")).where(F.col("item_ratings") >= n_item)
+    items, users = materialize(items, "active-items"), materialize(users, "active-users")
     return ratings.join(items, "item").join(users, "user").select("user", "item", "rating", "user_ratings", "item_ratings")
 
 
 def zscore(ratings: DataFrame) -> DataFrame:
     """Add (mean, sd, z) per user; a user whose ratings do not vary has z = 0.
 
-    Means and deviations are combined before the shuffle and joined back, so that a user with very
-    many ratings is not gathered in one task.
+    Means and deviations are combined before the shuffle and joined back as a table, so that a user
+    with very many ratings is not gathered in one task.
     """
     stats = ratings.groupBy("user").agg(F.avg("rating").alias("mean"), F.coalesce(F.stddev_samp("rating"), F.lit(0.0)).alias("sd"))
-    return ratings.join(stats, "user").withColumn("z", F.coalesce(F.try_divide(F.col("rating") - F.col("mean"), F.col("sd")), F.lit(0.0)))
+    return ratings.join(materialize(stats, "user-scale"), "user").withColumn("z", F.coalesce(F.try_divide(F.col("rating") - F.col("mean"), F.col("sd")), F.lit(0.0)))
 
 
 def hash_bucket(key: Column, buckets: int) -> Column:
@@ -59,7 +60,7 @@ def withhold_one(ratings: DataFrame) -> DataFrame:
     """Mark one rating per user, the one with the largest hash, as withheld."""
     mark = F.md5(F.concat_ws(":", F.col("user").cast("string"), F.col("item").cast("string")))
     chosen = ratings.groupBy("user").agg(F.max_by("item", mark).alias("_item"))
-    return ratings.join(chosen, "user").withColumn("withheld", F.col("item") == F.col("_item")).drop("_item")
+    return ratings.join(materialize(chosen, "withheld"), "user").withColumn("withheld", F.col("item") == F.col("_item")).drop("_item")
 
 
 # --- similarity ----------------------------------------------------------------

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallygrain.session import materialize
+
 
 def top_k(df: DataFrame, by: Sequence[str], order: str, k: int, ties: str = "rank", tie_break: Sequence[str] = ()) -> DataFrame:
     """The k largest rows per group by ``order``.
@@ -31,16 +33,18 @@ def top_k(df: DataFrame, by: Sequence[str], order: str, k: int, ties: str = "ran
 def add_group_totals(df: DataFrame, by: str, totals: dict[str, Column]) -> DataFrame:
     """Attach aggregates of each row's group; rows with a NULL group get NULL.
 
-    The aggregate is combined before its shuffle and joined back as a small table, so a group with a
-    large share of the rows is never gathered in one task, as a window over the group would.
+    The aggregate is combined before its shuffle, so a group with a large share of the rows is never
+    gathered in one task, as a window over the group would. It is written as a table before it is
+    joined back: if its size allows a broadcast the rows are not shuffled at all, and if not, AQE can
+    split a hot group, which it does only for joins of plain shuffles and not above an aggregate.
     """
     groups = df.where(F.col(by).isNotNull()).groupBy(by).agg(*[e.alias(n) for n, e in totals.items()])
-    return df.join(groups, by, "left")
+    return df.join(materialize(groups, "group-totals"), by, "left")
 
 
 def anti_count(left: DataFrame, right: DataFrame, left_key: str, right_key: str, null_safe: bool = True) -> DataFrame:
     """Rows of ``left`` whose key is missing in ``right``; null-safe, a NULL key matches a NULL key."""
-    keys = right.select(F.col(right_key).alias("_key")).distinct()
+    keys = right.select(F.col(right_key).alias("_key"))
     condition = F.col(left_key).eqNullSafe(F.col("_key")) if null_safe else F.col(left_key) == F.col("_key")
     return left.join(keys, condition, "left_anti").agg(F.count("*").alias("n"))
 
@@ -102,10 +106,11 @@ def common_items(df: DataFrame, key: str, item: str, groups: int, k: int, exclud
 def top_value_in_ranked_group(df: DataFrame, outer: str, group: str, member: str, amount: str, ranks: Sequence[int]) -> DataFrame:
     """Per outer key: rank groups by row count, then the member with the largest amount in the wanted ranks."""
     cells = df.where(F.col(group).isNotNull()).groupBy(outer, group, member).agg(F.count("*").alias("n"), F.sum(amount).alias("amount"))
+    cells = materialize(cells, "members")
     sizes = cells.groupBy(outer, group).agg(F.sum("n").alias("n"))
     ranked = sizes.withColumn("group_rank", F.row_number().over(Window.partitionBy(outer).orderBy(F.desc("n"), group)))
     wanted = ranked.where(F.col("group_rank").isin(list(ranks))).select(outer, group, "group_rank")
-    return top_k(cells.drop("n").join(wanted, [outer, group]), [outer, "group_rank"], "amount", 1, "rank")
+    return top_k(cells.drop("n").join(materialize(wanted, "ranked-groups"), [outer, group]), [outer, "group_rank"], "amount", 1, "rank")
 
 
 def mean_and_percentiles(df: DataFrame, column: str, probs: Sequence[float], accuracy: int = 10000) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallygrain.functions.scalars import label_lookup
 from tallygrain.operators.relational import top_k
+from tallygrain.session import materialize
 
 # Entities decoded in extracted text, the ampersand last.
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
@@ -126,9 +127,10 @@ def term_rows(df: DataFrame, keys: Sequence[str], text: str, stop: Sequence[str]
 def doc_term(df: DataFrame, key: str, text: str, min_df: int = 2, max_df: float = 0.8, stop: Sequence[str] = tuple(STOP_WORDS)) -> DataFrame:
     """(key, term, tf) for terms in at least ``min_df`` documents and at most the share ``max_df`` of them."""
     counts = term_rows(df, [key], text, stop).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    counts = materialize(counts, "term-counts")  # read twice, and the text is not parsed again
     documents = df.agg(F.count("*")).scalar()
     kept = counts.groupBy("term").agg(F.count("*").alias("df")).where((F.col("df") >= min_df) & (F.col("df") <= max_df * documents))
-    return counts.join(kept, "term").select(key, "term", "tf", "df")
+    return counts.join(materialize(kept, "vocabulary"), "term").select(key, "term", "tf", "df")
 
 
 def vocabulary_sample(terms: DataFrame, n: int = 10) -> DataFrame:

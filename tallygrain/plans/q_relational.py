@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallygrain.functions import scalars
 from tallygrain.operators import ordering, quantiles, relational as rel, reshape
 from tallygrain.plans.registry import query
+from tallygrain.session import materialize
 
 MONEY = "decimal(18,2)"
 
@@ -29,7 +30,8 @@ def master(t):
 
 
 def sector_labels(t):
-    return reshape.flags_to_label(t.sector_map, ["category"], "sector").withColumn("category", scalars.repair_category("category"))
+    labels = reshape.flags_to_label(t.sector_map, ["category"], "sector").withColumn("category", scalars.repair_category("category"))
+    return materialize(labels, "sector-labels")
 
 
 def sectored(t):
@@ -79,8 +81,8 @@ ACTIVE = '''items AS (SELECT item FROM ratings GROUP BY item HAVING count(*) >=
 ---
     SELECT "user", item, rating FROM ratings WHERE item IN (SELECT item FROM items) AND "user" IN (SELECT "user" FROM users)""", ("ratings",))
 def _(t):
-    items = rel.group_counts(t.ratings, "item").where("n >= 70")
-    users = rel.group_counts(t.ratings, "user").where("n >= 45")
+    items = materialize(rel.group_counts(t.ratings, "item").where("n >= 70"), "active-items")
+    users = materialize(rel.group_counts(t.ratings, "user").where("n >= 45"), "active-users")
     return t.ratings.join(items, "item", "left_semi").join(users, "user", "left_semi").select("user", "item", "rating")
 
 

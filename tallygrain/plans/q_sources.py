@@ -118,7 +118,7 @@ def _(t):
     path = scratch_path(t.spark, "trips-orc")
     kept = quality.clean(t.trips, trip_rules()).withColumns({"mnth": F.month("pickup"), "days": F.day("pickup")})
     writers.write_partitioned(kept, path, ["mnth", "days"])
-    back = t.spark.read.orc(path)
+    back = t.spark.read.schema(kept.schema).orc(path)
     return back.groupBy("mnth", "days").agg(F.count("*").alias("n"), F.sum(F.col("fare").cast("decimal(18,2)")).cast("double").alias("fare"))
 
 
