@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallygrain.functions import scalars
 from tallygrain.operators import reshape
+from tallygrain.plans.q_timeseries import series
 from tallygrain.plans.registry import query
 
 DAY = "yyyy-MM-dd"
@@ -270,11 +271,7 @@ def _(t):
 
 @query("fn_sin_term", "SELECT market, t, round(sin(2 * pi() * t / 12), 9) + 0.0 AS term FROM series", ("series",))
 def _(t):
-    from tallygrain.operators import timeseries as ts
-
-    months = ts.monthly(t.sales, ["market"], "order_date", {"y": F.sum("sales").cast("double")})
-    return ts.indexed(months, ["market"]).select("market", F.col("t").cast("bigint").alias("t"),
-                                                 (F.round(F.sin(2 * math.pi * F.col("t") / 12), 9) + F.lit(0.0)).alias("term"))
+    return series(t).select("market", "t", (F.round(F.sin(2 * math.pi * F.col("t") / 12), 9) + F.lit(0.0)).alias("term"))
 
 
 @query("fn_parallel_arrays", r"""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallygrain.operators import quantiles, timeseries as ts
 from tallygrain.plans.registry import query
+from tallygrain.session import materialize
 
 KEYS = ["market"]
 ALPHAS = [0.2, 0.3, 0.56, 0.99]
@@ -13,8 +14,9 @@ H = 6
 
 
 def series(t):
-    """Monthly sales per market with index and season."""
-    return ts.indexed(ts.monthly(t.sales, KEYS, "order_date", {"y": F.sum("sales").cast("double")}), KEYS).withColumn("t", F.col("t").cast("bigint"))
+    """Monthly sales per market with index and season; the transactions are reduced to months once."""
+    months = materialize(ts.monthly(t.sales, KEYS, "order_date", {"y": F.sum("sales").cast("double")}), "monthly")
+    return ts.indexed(ts.fill_calendar(months, KEYS, ["y"]), KEYS).withColumn("t", F.col("t").cast("bigint"))
 
 
 def training(t):
@@ -54,10 +56,10 @@ def residuals(t):
     return ts.trend_season_fitted(train, fit, KEYS).withColumn("e", F.col("y") - F.col("fitted"))
 
 
-@query("ts_monthly", "SELECT market, segment, strftime(month, '%Y-%m') AS month, sales, quantity FROM monthly", ("monthly",))
+@query("ts_monthly", "SELECT market, segment, strftime(month, '%Y-%m') AS month, sales::DOUBLE AS sales, quantity FROM monthly", ("monthly",))
 def _(t):
     months = ts.monthly(t.sales, ["market", "segment"], "order_date", {"sales": F.sum("sales").cast("double"), "quantity": F.count("*")})
-    filled = ts.fill_calendar(months, ["market", "segment"], ["sales", "quantity"])
+    filled = ts.fill_calendar(materialize(months, "monthly"), ["market", "segment"], ["sales", "quantity"])
     return filled.withColumn("month", F.date_format("month", "yyyy-MM"))
 
 

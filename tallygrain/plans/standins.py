@@ -315,15 +315,15 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
              JOIN region ON n_regionkey = r_regionkey
         WHERE o_orderdate < TIMESTAMP '2001-08-01'"""),
     "monthly": (("sales",), """
-        SELECT c.market, c.segment, c.month, coalesce(a.sales, 0)::DOUBLE AS sales, coalesce(a.quantity, 0) AS quantity
+        SELECT c.market, c.segment, c.month, coalesce(a.sales, 0) AS sales, coalesce(a.quantity, 0) AS quantity
         FROM (SELECT market, segment, unnest(generate_series(lo, hi, INTERVAL 1 MONTH))::DATE AS month
               FROM (SELECT DISTINCT market, segment FROM sales),
                    (SELECT date_trunc('month', min(order_date)) AS lo, date_trunc('month', max(order_date)) AS hi FROM sales)) c
         LEFT JOIN (SELECT market, segment, date_trunc('month', order_date)::DATE AS month, sum(sales) AS sales, count(*) AS quantity
                    FROM sales GROUP BY 1, 2, 3) a USING (market, segment, month)"""),
-    "series": (("sales",), """
+    "series": (("monthly",), """
         SELECT market, row_number() OVER (PARTITION BY market ORDER BY month) AS t, month(month) AS season, month, y
-        FROM (SELECT market, date_trunc('month', order_date)::DATE AS month, sum(sales)::DOUBLE AS y FROM sales GROUP BY 1, 2)"""),
+        FROM (SELECT market, month, sum(sales)::DOUBLE AS y FROM monthly GROUP BY 1, 2)"""),
     "reviews": ((), """
         SELECT doc_id, split_part(text, chr(10), 1) AS title, CASE WHEN doc_id % 2 = 0 THEN text END AS pros,
                CASE WHEN doc_id % 2 = 1 THEN text END AS cons
