@@ -41,8 +41,10 @@ def monthly(df: DataFrame, keys: Keys, date: str, measures: dict[str, Column]) -
 def fill_calendar(df: DataFrame, keys: Keys, measures: Sequence[str]) -> DataFrame:
     """Add the months a segment misses between the first and last month of the data, as zero."""
     span = df.agg(F.sequence(F.min("month"), F.max("month"), F.expr("interval 1 month"))).scalar()
-    calendar = df.select(*keys).distinct().withColumn("month", F.explode(span))
-    return calendar.join(df, [*keys, "month"], "left").fillna(0, list(measures))
+    # one map entry per calendar month and segment
+    known = df.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("month", F.struct(*measures)))).alias("_known"))
+    filled = known.withColumn("month", F.explode(span)).withColumn("_at", F.try_element_at("_known", F.col("month")))
+    return filled.select(*keys, "month", *[F.coalesce(F.col(f"_at.{m}"), F.lit(0)).cast(df.schema[m].dataType).alias(m) for m in measures])
 
 
 def indexed(df: DataFrame, keys: Keys) -> DataFrame:

@@ -38,7 +38,7 @@ def _(t):
 
 
 @query("proj_derive", """
-    SELECT o_orderkey, year(o_orderdate) AS issue_year, month(o_orderdate) AS issue_month, 'M' AS mark, o_orderstatus AS status_copy FROM orders""")
+    SELECT o_orderkey, year(o_orderdate)::INT AS issue_year, month(o_orderdate)::INT AS issue_month, 'M' AS mark, o_orderstatus AS status_copy FROM orders""")
 def _(t):
     return t.orders.select("o_orderkey", F.year("o_orderdate").alias("issue_year"), F.month("o_orderdate").alias("issue_month"),
                            F.lit("M").alias("mark"), F.col("o_orderstatus").alias("status_copy"))
@@ -222,12 +222,12 @@ def _(t):
     return t.swipes.select("employee", "day", F.date_format(parsed, "yyyy-MM-dd HH:mm:ss").alias("time_in"))
 
 
-@query("fn_date_parts", "SELECT event_id, year(ts) AS y, month(ts) AS m, day(ts) AS d, hour(ts) AS h FROM events")
+@query("fn_date_parts", "SELECT event_id, year(ts)::INT AS y, month(ts)::INT AS m, day(ts)::INT AS d, hour(ts)::INT AS h FROM events")
 def _(t):
     return t.events.select("event_id", F.year("ts").alias("y"), F.month("ts").alias("m"), F.day("ts").alias("d"), F.hour("ts").alias("h"))
 
 
-@query("fn_unix_roundtrip", "SELECT o_orderkey, year(o_orderdate) AS y, month(o_orderdate) AS m FROM orders")
+@query("fn_unix_roundtrip", "SELECT o_orderkey, year(o_orderdate)::INT AS y, month(o_orderdate)::INT AS m FROM orders")
 def _(t):
     """Through epoch seconds and back; the pattern is ignored for timestamps."""
     back = F.from_unixtime(F.unix_timestamp("o_orderdate", "yyyyMM"))

@@ -158,7 +158,7 @@ def _(t):
     return t.events.agg(F.date_format(F.min("ts"), "yyyy-MM-dd").alias("first_date"), F.date_format(F.max("ts"), "yyyy-MM-dd").alias("last_date"))
 
 
-@query("prof_year_month", "SELECT year(o_orderdate) AS yr, month(o_orderdate) AS mnth, count(*) AS n FROM orders GROUP BY 1, 2")
+@query("prof_year_month", "SELECT year(o_orderdate)::INT AS yr, month(o_orderdate)::INT AS mnth, count(*) AS n FROM orders GROUP BY 1, 2")
 def _(t):
     return profile.rows_per_month(t.orders, "o_orderdate").orderBy("yr", "mnth")
 

@@ -127,7 +127,7 @@ def _(t):
 def _pairs_sql(row: str, column: str) -> str:
     return f"""+{ACTIVE}
 ---
-    SELECT x.{row} AS a, y.{row} AS b, count(*) AS n, round(sum(x.rating * y.rating) / (sqrt(sum(x.rating * x.rating)) * sqrt(sum(y.rating * y.rating))), 9) AS sim
+    SELECT x.{row}::BIGINT AS a, y.{row}::BIGINT AS b, count(*) AS n, round(sum(x.rating * y.rating) / (sqrt(sum(x.rating * x.rating)) * sqrt(sum(y.rating * y.rating))), 9) AS sim
     FROM r x JOIN r y ON x.{column} = y.{column} AND x.{row} < y.{row} GROUP BY 1, 2 HAVING count(*) >= 2"""
 
 
@@ -172,7 +172,7 @@ def _(t):
 
 @query("rec_ibcf", "+" + MODELS + "," + ibcf_sql("gz", "tz") + """
 ---
-    SELECT "user", item, predicted FROM ip WHERE predicted IS NOT NULL""", ("ratings",))
+    SELECT "user", item::BIGINT AS item, predicted FROM ip WHERE predicted IS NOT NULL""", ("ratings",))
 def _(t):
     given, train = _given_train(t)
     return rec.ibcf(given, train, ITEMS_KEPT, OVERLAP)

@@ -106,7 +106,7 @@ def _(t):
     return t.tickets.groupBy("violation_time").agg(F.count("violation_time").alias("n"))
 
 
-@query("agg_avg_by", "SELECT month(pickup) AS mnth, round(sum(fare::DECIMAL(18,2))::DOUBLE / count(*), 4) AS fare FROM trips GROUP BY 1", ("trips",))
+@query("agg_avg_by", "SELECT month(pickup)::INT AS mnth, round(sum(fare::DECIMAL(18,2))::DOUBLE / count(*), 4) AS fare FROM trips GROUP BY 1", ("trips",))
 def _(t):
     return t.trips.groupBy(F.month("pickup").alias("mnth")).agg(F.round(money_sum("fare") / F.count("*"), 4).alias("fare")).orderBy("mnth")
 
@@ -323,7 +323,7 @@ def _(t):
 @query("win_group_share", """
     SELECT code, season, n, round(100.0::DOUBLE * n / sum(n) OVER (PARTITION BY season), 6) AS season_percent,
            round(100.0::DOUBLE * n / sum(n) OVER (), 6) AS percent
-    FROM (SELECT code, quarter(issue_date) AS season, count(*) AS n FROM tickets_year GROUP BY 1, 2)""", ("tickets_year",))
+    FROM (SELECT code, quarter(issue_date)::INT AS season, count(*) AS n FROM tickets_year GROUP BY 1, 2)""", ("tickets_year",))
 def _(t):
     counts = rel.group_counts(t.tickets_year.withColumn("season", F.quarter("issue_date")), "code", "season")
     total = counts.agg(F.sum("n")).scalar()

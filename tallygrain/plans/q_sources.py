@@ -29,7 +29,7 @@ def _(t):
 
 
 @query("src_csv_infer", """
-    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders""")
+    SELECT o_orderkey::INT AS o_orderkey, o_custkey::INT AS o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders""")
 def _(t):
     path = scratch_path(t.spark, "orders-csv")
     writers.write_csv(t.orders, path)
@@ -78,7 +78,7 @@ def _(t):
     return readers.read_delimited(t.spark, uri, T.StructType.fromDDL("o_orderkey bigint, o_totalprice double, o_orderpriority string"))
 
 
-@query("src_multi_period", "SELECT year(o_orderdate) AS period, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2")
+@query("src_multi_period", "SELECT year(o_orderdate)::INT AS period, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2")
 def _(t):
     """One file set per year, written in one pass, read together with the year as a key of every group."""
     schema = T.StructType.fromDDL("o_orderkey bigint, o_orderstatus string, o_totalprice double")
@@ -90,7 +90,7 @@ def _(t):
     return tagged.groupBy("period", "o_orderstatus").agg(F.count("*").alias("n"))
 
 
-@query("src_html_pages", "SELECT page_id, url, md5(html) AS digest, length(html) AS n FROM pages")
+@query("src_html_pages", "SELECT page_id, url, md5(html) AS digest, length(html)::INT AS n FROM pages")
 def _(t):
     pages = readers.read_pages(t.spark, f"{t.sf_dir}/pages.parquet")
     return pages.select("page_id", "url", F.md5("html").alias("digest"), F.length("html").alias("n"))
@@ -111,7 +111,7 @@ def _(t):
 
 
 @query("sink_orc_partitioned", f"""
-    SELECT month(pickup) AS mnth, day(pickup) AS days, count(*) AS n, round(sum(fare::DECIMAL(18,2))::DOUBLE, 2) AS fare
+    SELECT month(pickup)::INT AS mnth, day(pickup)::INT AS days, count(*) AS n, round(sum(fare::DECIMAL(18,2))::DOUBLE, 2) AS fare
     FROM trips WHERE NOT {ERROR_SQL} GROUP BY 1, 2""", ("trips",))
 def _(t):
     """Clean trips into an ORC table partitioned by month and day, read back."""

@@ -15,8 +15,9 @@ H = 6
 
 def series(t):
     """Monthly sales per market with index and season; the transactions are reduced to months once."""
-    months = materialize(ts.monthly(t.sales, KEYS, "order_date", {"y": F.sum("sales").cast("double")}), "monthly")
-    return ts.indexed(ts.fill_calendar(months, KEYS, ["y"]), KEYS).withColumn("t", F.col("t").cast("bigint"))
+    months = ts.monthly(t.sales, KEYS, "order_date", {"y": F.sum("sales").cast("double")})
+    regular = ts.indexed(ts.fill_calendar(months, KEYS, ["y"]), KEYS).withColumn("t", F.col("t").cast("bigint"))
+    return materialize(regular, "series")
 
 
 def training(t):
@@ -59,7 +60,7 @@ def residuals(t):
 @query("ts_monthly", "SELECT market, segment, strftime(month, '%Y-%m') AS month, sales::DOUBLE AS sales, quantity FROM monthly", ("monthly",))
 def _(t):
     months = ts.monthly(t.sales, ["market", "segment"], "order_date", {"sales": F.sum("sales").cast("double"), "quantity": F.count("*")})
-    filled = ts.fill_calendar(materialize(months, "monthly"), ["market", "segment"], ["sales", "quantity"])
+    filled = ts.fill_calendar(months, ["market", "segment"], ["sales", "quantity"])
     return filled.withColumn("month", F.date_format("month", "yyyy-MM"))
 
 
@@ -123,7 +124,7 @@ def _(t):
 
 @query("ts_trend_season_forecast", "+" + FIT.format(source="series") + """,
     last AS (SELECT market, max(t) AS n, arg_max(season, t) AS s FROM series GROUP BY market),
-    ahead AS (SELECT market, step, n + step AS t, (s + step - 1) % 12 + 1 AS season FROM last, (SELECT unnest(range(1, 7))::INT AS step))
+    ahead AS (SELECT market, step, n + step AS t, ((s + step - 1) % 12 + 1)::INT AS season FROM last, (SELECT unnest(range(1, 7))::INT AS step))
 ---
     SELECT market, step, t, season, round(intercept + slope * t, 3) AS forecast FROM ahead JOIN fit USING (market, season)""", ("series",))
 def _(t):

@@ -262,8 +262,8 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                     ELSE '20_23' END AS bin
         FROM tickets"""),
     "tickets_year": ((), """
-        SELECT l_suppkey % 12 AS code, l_shipdate AS issue_date, year(l_shipdate) AS fiscal_year FROM lineitem"""),
-    "fines": ((), "SELECT range AS code, (40 + 5 * range)::DOUBLE AS fine FROM range(12)"),
+        SELECT (l_suppkey % 12)::INT AS code, l_shipdate AS issue_date, year(l_shipdate) AS fiscal_year FROM lineitem"""),
+    "fines": ((), "SELECT range::INT AS code, (40 + 5 * range)::DOUBLE AS fine FROM range(12)"),
     "funding": ((), """
         SELECT o_orderkey AS round,
                CASE WHEN o_orderkey % 2 = 0 THEN 'C-' || o_custkey::VARCHAR ELSE 'c-' || o_custkey::VARCHAR END AS company,
@@ -322,7 +322,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         LEFT JOIN (SELECT market, segment, date_trunc('month', order_date)::DATE AS month, sum(sales) AS sales, count(*) AS quantity
                    FROM sales GROUP BY 1, 2, 3) a USING (market, segment, month)"""),
     "series": (("monthly",), """
-        SELECT market, row_number() OVER (PARTITION BY market ORDER BY month) AS t, month(month) AS season, month, y
+        SELECT market, row_number() OVER (PARTITION BY market ORDER BY month) AS t, month(month)::INT AS season, month, y
         FROM (SELECT market, month, sum(sales)::DOUBLE AS y FROM monthly GROUP BY 1, 2)"""),
     "reviews": ((), """
         SELECT doc_id, split_part(text, chr(10), 1) AS title, CASE WHEN doc_id % 2 = 0 THEN text END AS pros,
