@@ -11,16 +11,17 @@ from tallygrain.operators.cuts import BUCKETS, assign, cut_points
 from tallygrain.session import materialize
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """Interpolated quantiles (type 7) in long form: (by..., column_name, prob, value).
 
     A sketch over each column gives cut points that split it into ranges of similar size. Counts per
     range, combined before the shuffle, tell the rank at which every range begins and so which ranges
     hold a wanted rank. Only rows of those ranges are shuffled, merged to (value, count), and ordered;
     a range holds about 1/buckets of all rows besides one possibly heavy value, which the merge
-    reduces to a single row. NULL values and NULL groups are left out.
+    reduces to a single row. Many quantiles ask for more ranges, so that the ranges they touch stay a
+    small part of the data. NULL values and NULL groups are left out.
     """
-    by = list(by)
+    by, buckets = list(by), buckets or max(BUCKETS, 8 * len(probs))
     keys = [*by, "column_name"]
     placed = assign(df, cut_points(df, columns, buckets))
     cells = F.array(
