@@ -15,7 +15,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallygrain.session import materialize
+from tallygrain.session import materialize, ship_by_value
+
+ship_by_value(__name__)
 
 SIM_DIGITS = 9
 RATING_DIGITS = 6
@@ -42,6 +44,10 @@ def zscore(ratings: DataFrame) -> DataFrame:
     return ratings.join(materialize(stats, "user-scale"), "user").withColumn("z", F.coalesce(F.try_divide(F.col("rating") - F.col("mean"), F.col("sd")), F.lit(0.0)))
 
 
+def _scored(ratings: DataFrame) -> DataFrame:
+    return ratings if "z" in ratings.columns else zscore(ratings)
+
+
 def hash_bucket(key: Column, buckets: int) -> Column:
     """Reproducible bucket of a key: the first 32 bits of its MD5 modulo ``buckets``."""
     return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint") % buckets
@@ -97,7 +103,7 @@ def pair_sums(left: DataFrame, right: DataFrame, row: str, column: str, value: s
     With ``fold``, a function of the column key, sums are kept apart per fold.
     """
     sizes = left.agg(F.approx_count_distinct(row).alias("l"), F.approx_count_distinct(column).alias("c")).first()
-    n_right = right.agg(F.approx_count_distinct(row)).first()[0]
+    n_right = sizes["l"] if right is left else right.agg(F.approx_count_distinct(row)).first()[0]
     lb, rb, cb = max(1, -(-sizes["l"] // block_rows)), max(1, -(-n_right // block_rows)), max(1, -(-sizes["c"] // block_columns))
     label = fold(F.col("c")) if fold else F.lit(0)
 
@@ -157,9 +163,10 @@ def _predict(weighted: DataFrame, given: DataFrame) -> DataFrame:
 def ubcf(given: DataFrame, train: DataFrame, nn: int = 50, min_overlap: int = 2, fold: Callable[[Column], Column] | None = None) -> DataFrame:
     """User-based prediction of unseen items: (user, item, predicted).
 
-    With ``fold``, users are only compared with users of other folds.
+    With ``fold``, users are only compared with users of other folds. Frames that carry ``z`` already
+    are used as they are.
     """
-    given, train = zscore(given), zscore(train)
+    given, train = _scored(given), _scored(train)
     sims = cosine(pair_sums(given, train, "user", "item", "z"), min_overlap)
     if fold is not None:
         sims = sims.where(fold(F.col("a")) != fold(F.col("b")))
@@ -174,7 +181,7 @@ def ibcf(given: DataFrame, train: DataFrame, k: int = 30, min_overlap: int = 2,
     With ``fold``, the model of a user's fold leaves that fold out: sums over users are additive, so
     it is the sum over all folds minus the user's own, and all folds need one pass.
     """
-    given, train = zscore(given), zscore(train)
+    given, train = _scored(given), _scored(train)
     sums = pair_sums(train, train, "item", "user", "z", fold)
     parts = ["dot", "aa", "bb", "n"]
     if fold is None:
@@ -247,6 +254,7 @@ def evaluate(ratings: DataFrame, fold: Callable[[Column], Column], test_folds: S
     single = len(test_folds) == 1
     train = ratings.where(fold(F.col("user")) != test_folds[0]) if single else ratings
     apart = None if single else fold
+    given, train = materialize(zscore(given), "given"), materialize(zscore(train), "train")
     seen = given.groupBy("user").agg(F.count("*").alias("given"))
     results = []
     for name, predicted in [("ubcf", ubcf(given, train, nn, fold=apart)), ("ibcf", ibcf(given, train, k, fold=apart))]:

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 from tallygrain.operators.ordering import running_totals
 from tallygrain.operators.relational import top_k
+from tallygrain.session import ship_by_value
+
+ship_by_value(__name__)
 
 Keys = Sequence[str]
 

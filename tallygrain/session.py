@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every query relies on. Skewed join partitions are split by AQE even where
@@ -61,6 +63,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
 
 
+def ship_by_value(module: str) -> None:
+    """Send functions of a module to workers by value, so that executors need not have it installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write a frame that several later steps read to the shared folder, and read it back.
 
