@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallygrain.operators import recommend as rec, relational as rel
 from tallygrain.plans.registry import query
 from tallygrain.plans.standins import RATED_ITEMS_MIN, RATED_USERS_MIN
+from tallygrain.session import materialize
 
 NS = [1, 3, 5, 10, 15, 20]
 NEIGHBOURS, ITEMS_KEPT, OVERLAP = 50, 30, 2
@@ -76,7 +77,8 @@ EVAL = MODELS + "," + ubcf_sql("gz", "tz") + "," + ibcf_sql("gz", "tz") + f""",
 
 
 def active(t):
-    return rec.min_activity(t.ratings, RATED_USERS_MIN, RATED_ITEMS_MIN).select("user", "item", "rating")
+    ratings = materialize(t.ratings, "ratings")  # both counts and the filter read it
+    return rec.min_activity(ratings, RATED_USERS_MIN, RATED_ITEMS_MIN).select("user", "item", "rating")
 
 
 @query("rec_activity_counts", """
@@ -156,7 +158,7 @@ def _(t):
 
 
 def _given_train(t):
-    marked = rec.withhold_one(active(t))
+    marked = materialize(rec.withhold_one(materialize(active(t), "active")), "ratings-withheld")
     train = rec.split_fold(75)(F.col("user")) == 1
     columns = ["user", "item", "rating"]
     return marked.where(~train & ~F.col("withheld")).select(*columns), marked.where(train).select(*columns)
@@ -183,7 +185,7 @@ def _(t):
     SELECT "user", item, rank FROM ({ranked_sql('up')}) WHERE rank <= 5""", ("ratings",))
 def _(t):
     """Five unseen items for every user, neighbours taken from all other users."""
-    ratings = active(t)
+    ratings = materialize(active(t), "active")
     return rec.top_n(rec.ubcf(ratings, ratings, NEIGHBOURS, OVERLAP), 5).select("user", "item", F.col("rank").cast("bigint").alias("rank"))
 
 
