@@ -49,27 +49,30 @@ class Cascade:
         return out
 
 
+def encode(keys: DataFrame, n: int, seed: int, bits_per_key: int = BITS_PER_KEY) -> Level:
+    """Bloom filter of the ``n`` rows of ``keys`` (``key``): bits are set per word before the shuffle, and only words reach the driver."""
+    size = max(1, -(-n * bits_per_key // 64))
+    if size > MAX_WORDS:
+        raise ValueError(f"{n} keys need {size} words, more than {MAX_WORDS}")
+    spots = keys.select(F.explode(F.array(*[F.pmod(F.xxhash64(F.lit(seed + i), F.col("key")), F.lit(64 * size)) for i in range(HASHES)])).alias("p"))
+    words = spots.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))).alias("b"))
+    bits = [0] * size
+    for row in words.collect():
+        bits[row["w"]] = row["b"]
+    return Level(bits, seed)
+
+
 def build(universe: DataFrame, bits_per_key: int = BITS_PER_KEY) -> Cascade:
     """Cascade over ``universe`` (``key``, ``listed``), whose keys are distinct.
 
-    A level is built where the data lie, by setting bits per word before the shuffle; only its words reach the driver, and their number
-    is bounded by ``MAX_WORDS``. Every level is smaller than the one two before by the rate of false positives.
+    The words of a level are bounded by ``MAX_WORDS``. Every level is smaller than the one two before by the rate of false positives.
     """
     cascade, alive = Cascade(), {True: universe.where("listed"), False: universe.where("not listed")}
     side = True
     while n := alive[side].count():
         if len(cascade.levels) == MAX_LEVELS:
             raise RuntimeError("the cascade does not end: are the keys distinct?")
-        size = -(-n * bits_per_key // 64)
-        if size > MAX_WORDS:
-            raise ValueError(f"{n} keys need {size} words, more than {MAX_WORDS}; spread them over passes")
-        seed = 1000 * (len(cascade.levels) + 1)
-        spots = alive[side].select(F.explode(F.array(*[F.pmod(F.xxhash64(F.lit(seed + i), F.col("key")), F.lit(64 * size)) for i in range(HASHES)])).alias("p"))
-        words = spots.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))).alias("b"))
-        bits = [0] * size
-        for row in words.collect():
-            bits[row["w"]] = row["b"]
-        level = Level(bits, seed)
+        level = encode(alive[side], n, 1000 * (len(cascade.levels) + 1), bits_per_key)
         cascade.levels.append(level)
         side = not side
         alive[side] = alive[side].where(level.test(F.col("key")))
