@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallygrain.session import prepare, ship_by_value
 
-__all__ = ["ready", "table", "require", "host_of", "path_of", "ship_by_value", "ASCII_UPPER", "ASCII_LOWER"]
+__all__ = ["ready", "table", "require", "fresh", "host_of", "path_of", "ship_by_value", "ASCII_UPPER", "ASCII_LOWER"]
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -33,6 +33,14 @@ def require(df: DataFrame, *columns: str) -> None:
         raise ValueError(f"missing columns {missing}; the frame has {df.columns}")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def host_of(url: Column) -> Column:
     """Between the first ``://`` and the next ``/``, ``?``, ``#`` or the end, A-Z lower-cased; empty for NULL or no ``://``."""
     host = F.regexp_extract(url, r"(?s)\A.*?://([^/?#]*)", 1)

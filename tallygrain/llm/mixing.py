@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallygrain.llm.common import ready, require, table
+from tallygrain.llm.common import fresh, ready, require, table
 from tallygrain.session import materialize
 
 SEED = 17
@@ -111,9 +111,10 @@ def domain_of(source: Column) -> Column:
 def mixed_documents(docs: DataFrame, weights: DataFrame) -> DataFrame:
     """Rows of ``docs`` as often as the mix uses them."""
     use = mix(docs, weights, domain_of(F.col("source"))).where("times > 0").groupBy("doc_id").agg(F.max("times").alias("times"))
-    used = materialize(use.select(F.col("doc_id").alias("used"), "times"), "used")
-    joined = docs.join(used, F.col("doc_id").eqNullSafe(F.col("used")))
-    return joined.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("times"))).alias("time_of_use")).drop("time_of_use")
+    doc, times = fresh(docs, "used"), fresh(docs, "times")
+    used = materialize(use.select(F.col("doc_id").alias(doc), F.col("times").alias(times)), "used")
+    joined = docs.join(used, docs["doc_id"].eqNullSafe(used[doc]))
+    return joined.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), used[times])).alias(times)).drop(times)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

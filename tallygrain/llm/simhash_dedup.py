@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrain.llm.common import require, ship_by_value, table
+from tallygrain.llm.common import fresh, require, ship_by_value, table
 from tallygrain.llm.graph import components
 from tallygrain.session import materialize
 
@@ -211,8 +211,9 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     A text without a word has no content to repeat, so such rows are not taken for copies of each other.
     """
     groups = near_duplicates(docs.where(F.col(text_col).rlike(r"[^\x20\x09-\x0D]")), id_col, text_col)
-    gone = materialize(groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone")).distinct(), "gone")
-    return docs.join(gone, docs[id_col] == F.col("gone"), "left_anti")
+    name = fresh(docs, "gone")
+    gone = materialize(groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(name)).distinct(), "gone")
+    return docs.join(gone, docs[id_col] == gone[name], "left_anti")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

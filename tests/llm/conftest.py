@@ -1,0 +1,8 @@
+import pytest
+
+from tallygrain.llm.common import ready
+
+
+@pytest.fixture()
+def spark(spark):
+    return ready(spark)
