@@ -13,7 +13,7 @@ MAX_EPOCHS = 2
 #: Tokens asked for, as a share of those that one epoch over all documents has.
 BUDGET_SHARE = 0.6
 #: Rows that one task orders at once, about.
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 512
 
 LEVELS = ["domain", "lang", "source"]
 
