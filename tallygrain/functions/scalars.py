@@ -33,7 +33,7 @@ def violation_minute(c) -> Column:
 def clock(minute) -> Column:
     """Minute of the day as text ``HH:mm``, NULL for NULL."""
     value = _col(minute)
-    return F.concat_ws(":", F.lpad(F.floor(value / 60).cast("string"), 2, "0"), F.lpad((value % 60).cast("string"), 2, "0"))
+    return F.concat(F.lpad(F.floor(value / 60).cast("string"), 2, "0"), F.lit(":"), F.lpad((value % 60).cast("string"), 2, "0"))
 
 
 # Six bins of four hours.

@@ -124,8 +124,6 @@ def pair_sums(left: DataFrame, right: DataFrame, row: str, column: str, value: s
         .applyInPandas(task, "a bigint, b bigint, dot double, aa double, bb double, n bigint, fold int")
     )
     by = ["a", "b", "fold"] if fold else ["a", "b"]
-    if cb == 1 and fold is None:
-        return products.drop("fold")
     return products.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ["dot", "aa", "bb", "n"]])
 
 

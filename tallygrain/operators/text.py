@@ -35,9 +35,9 @@ def node_pattern(tag: str, css_class: str | None = None) -> str:
 
 
 def attribute_pattern(tag: str, attribute: str, css_class: str | None = None) -> str:
-    """Pattern whose first group is an attribute value; with a class, the class comes before it."""
-    before = "[^>]*" if css_class is None else rf'[^>]*\bclass="{css_class}"[^>]*'
-    return rf'<{tag}\b{before}\b{attribute}="([^"]*)"'
+    """Pattern whose first group is an attribute value; a class may stand before or after it."""
+    needed = "" if css_class is None else rf'(?=[^>]*\bclass="{css_class}")'
+    return rf'<{tag}\b{needed}[^>]*\b{attribute}="([^"]*)"'
 
 
 def all_matches(markup: Column, pattern: str) -> Column:
@@ -151,11 +151,12 @@ def word_frequency(df: DataFrame, columns: Sequence[str], n: int = 5000, stop: S
 
 
 def topic_model(df: DataFrame, key: str, text: str, k: int = 5, seed: int = 42, min_df: int = 2, max_df: float = 0.8, max_iter: int = 20):
-    """Fit a topic model on term counts: (vocabulary, model, counted documents)."""
-    counted = df.select(key, tokens(F.col(text)).alias("words"))
-    vectorizer = CountVectorizer(inputCol="words", outputCol="features", minDF=float(min_df), maxDF=max_df).fit(counted)
-    features = vectorizer.transform(counted).select(key, "features")
-    return vectorizer.vocabulary, LDA(k=k, seed=seed, maxIter=max_iter).fit(features), features
+    """Fit a topic model on term counts of all documents and all terms: (vocabulary, model, counted documents)."""
+    counted = materialize(df.select(key, tokens(F.col(text)).alias("words")), "words")
+    terms = counted.select(F.explode("words").alias("term")).distinct().count()
+    vectorizer = CountVectorizer(inputCol="words", outputCol="features", minDF=float(min_df), maxDF=max_df, vocabSize=max(1, terms)).fit(counted)
+    features = materialize(vectorizer.transform(counted).select(key, "features"), "features")
+    return vectorizer.vocabulary, LDA(k=k, seed=seed, maxIter=max_iter, subsamplingRate=1.0).fit(features), features
 
 
 def topic_weights(model, features: DataFrame, key: str) -> DataFrame:

@@ -243,10 +243,12 @@ def pacf(df: DataFrame, keys: Keys, e: str, max_lag: int = 12) -> DataFrame:
 KPSS_LEVELS = {0.10: 0.347, 0.05: 0.463, 0.025: 0.574, 0.01: 0.739}
 
 
-def kpss(df: DataFrame, keys: Keys, e: str, max_lag: int = 12) -> DataFrame:
-    """Level-stationarity statistic with Bartlett weights at trunc(4 (n/100)^(1/4)) lags."""
+def kpss(df: DataFrame, keys: Keys, e: str) -> DataFrame:
+    """Level-stationarity statistic with Bartlett weights at trunc(4 (n/100)^(1/4)) lags, as many as the longest segment asks for."""
+    longest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
+    max_lag = max(1, int(4 * (longest / 100) ** 0.25))
     cov = _autocovariances(df, keys, e, max_lag)
-    used = F.least(F.lit(max_lag), F.floor(4 * F.pow(F.col("_n") / 100, 0.25)).cast("int"))
+    used = F.floor(4 * F.pow(F.col("_n") / 100, 0.25)).cast("int")
     weighted = reduce(
         lambda a, b: a + b,
         [F.when(F.lit(k) <= used, 2 * (1 - k / (used + 1)) * F.col(f"_c{k}")).otherwise(0.0) for k in range(1, max_lag + 1)],

@@ -46,9 +46,10 @@ def _(t):
 
 @query("filt_range_date", """
     SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS order_date FROM orders
-    WHERE o_orderdate BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1997-12-31'""")
+    WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'""")
 def _(t):
-    inside = F.col("o_orderdate").between(F.lit("1997-01-01").cast("timestamp_ntz"), F.lit("1997-12-31").cast("timestamp_ntz"))
+    """Both days belong to the range, the last one to its end."""
+    inside = (F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz")) & (F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     return t.orders.where(inside).select("o_orderkey", F.date_format("o_orderdate", DAY).alias("order_date"))
 
 
@@ -129,8 +130,8 @@ def _(t):
     SELECT employee, "day", strftime(time_in, '%Y-%m-%d %H:%M:%S') AS time_in, strftime(time_out, '%Y-%m-%d %H:%M:%S') AS time_out
     FROM swipes""", ("swipes",))
 def _(t):
-    """Through the wide form, one column per day, and back."""
-    days = [f"2024-01-{d:02d}" for d in range(1, 32)]
+    """Through the wide form, one column per day of the data, and back."""
+    days = reshape.levels_of(t.swipes, "day", limit=10_000)
     stamp = "yyyy-MM-dd HH:mm:ss"
     wide = {c: t.swipes.groupBy("employee").pivot("day", days).agg(F.date_format(F.min(c), stamp)) for c in ["time_in", "time_out"]}
     return reshape.swipe_pairs(wide["time_in"], wide["time_out"], "employee")
@@ -157,7 +158,7 @@ SOURCES = sorted(f"src{i}" for i in range(20))
     [f"(lang = '{v}')::INT AS lang_{v}" for v in ["en", "es", "fr"]] + [f"(source = '{v}')::INT AS source_{v}" for v in SOURCES[1:]])
     + " FROM emp", ("emp",))
 def _(t):
-    return reshape.dummies(t.emp.select("doc_id", "lang", "source"), ["lang", "source"], {"lang": ["de", "en", "es", "fr"], "source": SOURCES})
+    return reshape.dummies(t.emp.select("doc_id", "lang", "source"), ["lang", "source"])
 
 
 # --- scalar functions ----------------------------------------------------------
@@ -207,7 +208,7 @@ def _(t):
            CASE WHEN violation_time IS NOT NULL THEN strftime(ts, '%H:%M') END AS clock FROM tickets""", ("tickets",))
 def _(t):
     timed = t.tickets.select("summons", "violation_time", scalars.violation_minute("violation_time").cast("bigint").alias("minute_of_day"))
-    return timed.withColumn("clock", F.when(F.col("minute_of_day").isNotNull(), scalars.clock("minute_of_day")))
+    return timed.withColumn("clock", scalars.clock("minute_of_day"))
 
 
 @query("fn_to_date", "SELECT summons, strftime(ts, '%Y-%m-%d') AS issued FROM tickets", ("tickets",))

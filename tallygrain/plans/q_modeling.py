@@ -11,7 +11,7 @@ from tallygrain.session import materialize
 
 CUTOFFS = m.cutoffs()
 CUT_LIST = "[" + ", ".join(f"{c!r}::DOUBLE" for c in CUTOFFS) + "]"
-TERMS = ["n_words", "n_lines", "chars_per_word", "toxic", "lang_en", "lang_es", "lang_fr"]
+NUMBERS = ["n_words", "n_lines", "chars_per_word", "toxic"]
 HOURS = "round(epoch_us(time_out - time_in) / 3600000000, 2)::DECIMAL(18,2)"
 BUCKET = "('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 100"
 
@@ -20,15 +20,21 @@ def hours(t):
     return m.worked_hours(t.swipes, scalars.hours_between("time_in", "time_out"), "employee")
 
 
+def terms_of(frame) -> list[str]:
+    """Numbers, then a dummy for each language of the data but the first."""
+    return [*NUMBERS, *sorted(c for c in frame.columns if c.startswith("lang_"))]
+
+
 def design(t):
     """Features of a labelled document: counts on a common scale, dummies, and the assembled vector, written once."""
-    frame = reshape.dummies(t.emp.drop("source"), ["lang"], {"lang": ["de", "en", "es", "fr"]})
+    frame = reshape.dummies(t.emp.drop("source"), ["lang"])
     scaled = frame.withColumns({
         "n_words": F.col("n_words") / 100, "n_lines": F.col("n_lines") / 10,
         "chars_per_word": F.coalesce(F.try_divide(F.col("n_chars"), 100 * F.col("n_words")), F.lit(0.0)),
     })
     split = m.hash_split(scaled, "doc_id", 70)
-    return m.assemble(materialize(split, "design"), TERMS)
+    terms = terms_of(frame)
+    return m.assemble(materialize(split, "design"), terms)
 
 
 def training(t):
@@ -64,27 +70,27 @@ def _(t):
 @query("ml_logit_fit")
 def _(t):
     train = training(t)
-    return m.logit(train, "target", TERMS).coefficients(train)
+    return m.logit(train, "target", terms_of(train)).coefficients(train)
 
 
 @query("ml_stepwise_aic")
 def _(t):
     """Terms of the selected model with the AIC of the full and the selected one."""
     train = training(t)
-    fit, path = m.step_aic(train, "target", TERMS)
+    fit, path = m.step_aic(train, "target", terms_of(train))
     return fit.coefficients(train).withColumn("start_aic", F.lit(float(path[0][1])))
 
 
 @query("ml_vif")
 def _(t):
     train = training(t)
-    return m.vif(train, m.logit(train, "target", TERMS))
+    return m.vif(train, m.logit(train, "target", terms_of(train)))
 
 
 @query("ml_backward_pvalue")
 def _(t):
     train = training(t)
-    fit, removed = m.backward_p(train, "target", TERMS)
+    fit, removed = m.backward_p(train, "target", terms_of(train))
     return fit.coefficients(train).withColumn("removed_terms", F.lit(len(removed)))
 
 
@@ -92,7 +98,7 @@ def _(t):
 def _(t):
     """Probabilities on the rows that were not trained on."""
     frame = design(t)
-    fit = m.logit(frame.where("is_train"), "target", TERMS)
+    fit = m.logit(frame.where("is_train"), "target", terms_of(frame))
     return fit.predict(frame.where(~F.col("is_train"))).select("doc_id", "target", F.round("score", 6).alias("score"))
 
 

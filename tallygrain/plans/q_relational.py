@@ -47,11 +47,13 @@ def _(t):
 
 
 @query("join_chain_key", """
-    SELECT doc_id, quality, toxic, n_chars, words FROM documents JOIN labels USING (doc_id)
-    JOIN (SELECT doc_id, len(regexp_extract_all(text, '[^ \\n]+')) AS words FROM documents) USING (doc_id)""".replace("\\\\", "\\"))
+    SELECT doc_id, quality, toxic, n_chars, len(regexp_extract_all(text, '[^ \\n]+')) AS words, vectors.label FROM documents JOIN labels USING (doc_id)
+    JOIN embeddings vectors ON doc_id = vec_id""")
 def _(t):
-    words = t.documents.select("doc_id", F.regexp_count("text", F.lit(r"[^ \n]+")).cast("bigint").alias("words"))
-    return t.documents.join(t.labels, "doc_id").join(words, "doc_id").select("doc_id", "quality", "toxic", "n_chars", "words")
+    """Three tables on one key, which is shuffled once per table."""
+    words = F.regexp_count("text", F.lit(r"[^ \n]+")).cast("bigint").alias("words")
+    vectors = t.embeddings.select(F.col("vec_id").alias("doc_id"), "label")
+    return t.documents.select("doc_id", "n_chars", words).join(t.labels, "doc_id").join(vectors, "doc_id").select("doc_id", "quality", "toxic", "n_chars", "words", "label")
 
 
 @query("join_left_map", "SELECT round, permalink, primary_sector, sector FROM sectored", ("sectored",))
@@ -68,9 +70,10 @@ def _(t):
     return rel.add_group_totals(sectored(t).select("round", "sector", "amount"), "sector", totals).drop("amount")
 
 
-@query("join_anti_count", "SELECT count(*) AS n FROM funding WHERE lower(company) NOT IN (SELECT permalink FROM companies)", ("funding", "companies"))
+@query("join_anti_count", "SELECT count(*) AS n FROM funding WHERE lower(company) NOT IN (SELECT permalink FROM companies WHERE country <> '')", ("funding", "companies"))
 def _(t):
-    return rel.anti_count(t.funding.withColumn("permalink", F.lower("company")), t.companies, "permalink", "permalink")
+    """Funding of companies without a country."""
+    return rel.anti_count(t.funding.withColumn("permalink", F.lower("company")), t.companies.where("country != ''"), "permalink", "permalink")
 
 
 ACTIVE = '''items AS (SELECT item FROM ratings GROUP BY item HAVING count(*) >= 70),
@@ -255,7 +258,7 @@ def _(t):
 ---
     SELECT reviews, count(*) AS items, round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM c), 6) AS ratio FROM c GROUP BY 1""", ("ratings",))
 def _(t):
-    counts = rel.group_counts(t.ratings, "item", out="reviews")
+    counts = materialize(rel.group_counts(t.ratings, "item", out="reviews"), "item-counts")
     total = counts.agg(F.count("*")).scalar()
     return rel.group_counts(counts, "reviews", out="items").withColumn("ratio", F.round(100 * F.col("items") / total, 6))
 
@@ -276,7 +279,7 @@ def _(t):
     SELECT code, bin, n, n = max(n) OVER (PARTITION BY code) AS most_common FROM c WHERE code IN (SELECT code FROM top)""", ("timed",))
 def _(t):
     """One pass to (code, bin) counts; the three codes come from those counts."""
-    counts = rel.group_counts(timed_tickets(t).where("bin != 'unknown'"), "code", "bin")
+    counts = materialize(rel.group_counts(timed_tickets(t).where("bin != 'unknown'"), "code", "bin"), "bin-counts")
     totals = counts.groupBy("code").agg(F.sum("n").alias("total"), F.max("n").alias("best"))
     leading = rel.top_k(totals, [], "total", 3, "none", ["code"])
     return counts.join(leading, "code").select("code", "bin", "n", (F.col("n") == F.col("best")).alias("most_common"))
@@ -380,11 +383,21 @@ def _(t):
     return rel.common_items(t.tickets, "precinct", "code", 3, 5, exclude=[0])
 
 
-@query("topk_offset_slice", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey OFFSET 10")
+@query("topk_offset_slice", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey NULLS LAST, o_totalprice OFFSET 10")
 def _(t):
-    """Rows after the first ten by key, without a single-task offset: everything above the tenth key."""
-    tenth = t.orders.select("o_orderkey").orderBy("o_orderkey").limit(10).agg(F.max("o_orderkey")).scalar()
-    return t.orders.where(F.col("o_orderkey") > tenth).select("o_orderkey", "o_totalprice")
+    """Rows after the first ten by key and price, without a single-task offset.
+
+    The tenth row comes from a top ten; rows behind it stay, and of rows equal to it as many as the first ten did not take. NULL keys come last.
+    """
+    rows = t.orders.select("o_orderkey", "o_totalprice")
+    pair = F.struct(F.col("o_orderkey").isNull().alias("n"), F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("p"))
+    first = rows.select(pair.alias("r")).orderBy("r").limit(10)
+    last = materialize(first.agg(F.max("r").alias("last"), F.array_sort(F.collect_list("r")).alias("all")), "first-rows")
+    taken = last.select(F.size(F.filter("all", lambda x: x == F.col("last")))).scalar()
+    tenth = last.select("last").scalar()
+    behind = rows.where(pair > tenth)
+    level = rows.where(pair == tenth).groupBy("o_orderkey", "o_totalprice").agg(F.count("*").alias("n")).withColumn("more", F.col("n") - taken).where("more > 0")
+    return behind.unionByName(level.select("o_orderkey", "o_totalprice", F.explode(F.array_repeat(F.lit(1), F.col("more").cast("int"))).alias("one")).drop("one"))
 
 
 @query("topk_groups_vs_rest", """+

@@ -71,11 +71,10 @@ def _(t):
 
 @query("src_object_store", "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders")
 def _(t):
-    """The same reader with a full URI; object stores and HDFS differ only in the scheme."""
+    """The same reader on the path as the cluster names it; object stores and HDFS differ only in the scheme."""
     path = scratch_path(t.spark, "orders-uri")
-    uri = path if "://" in path else f"file://{path}"
-    writers.write_csv(t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority"), uri)
-    return readers.read_delimited(t.spark, uri, T.StructType.fromDDL("o_orderkey bigint, o_totalprice double, o_orderpriority string"))
+    writers.write_csv(t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority"), path)
+    return readers.read_delimited(t.spark, path, T.StructType.fromDDL("o_orderkey bigint, o_totalprice double, o_orderpriority string"))
 
 
 @query("src_multi_period", "SELECT year(o_orderdate)::INT AS period, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2")

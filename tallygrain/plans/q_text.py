@@ -8,7 +8,7 @@ from tallygrain.operators import text as tx
 from tallygrain.plans.registry import query
 
 NODES = {
-    "title": tx.node_pattern("title"),
+    "title": tx.node_pattern("review"),
     "h1": tx.node_pattern("h1"),
     "p": tx.node_pattern("p"),
     "link": tx.attribute_pattern("a", "href"),
@@ -50,13 +50,13 @@ def _(t):
 
 LOOKUP = ", ".join(f"v[list_position(l, '{w}')] AS {c}" for c, w in CATEGORIES.items())
 PAIRS = f"""(SELECT page_id, list_transform({matches_sql('b', LABEL)}, lambda x: {plain_sql('x')}) AS l, {matches_sql('b', VALUE)} AS v
-             FROM (SELECT page_id, unnest({matches_sql('html', BLOCK)}) AS b FROM pages))"""
+             FROM (SELECT page_id, unnest(CASE WHEN len({matches_sql('html', BLOCK)}) > 0 THEN {matches_sql('html', BLOCK)} ELSE [NULL] END) AS b FROM pages))"""
 
 
 @query("txt_subratings", f"SELECT page_id, {LOOKUP} FROM {PAIRS}")
 def _(t):
     """Values by label from the pairs of each block."""
-    blocks = t.pages.select("page_id", F.explode(tx.all_matches(F.col("html"), BLOCK)).alias("block"))
+    blocks = t.pages.select("page_id", F.explode_outer(tx.all_matches(F.col("html"), BLOCK)).alias("block"))
     return blocks.select("page_id", *tx.sub_ratings(F.col("block"), LABEL, VALUE, list(CATEGORIES.values())))
 
 
@@ -73,13 +73,13 @@ def _(t):
 
 
 @query("txt_clean_tokens", f"""
-    SELECT doc_id, array_to_string(list_filter({words_sql('title')}, lambda x: x NOT IN {STOP}), ' ') AS words FROM reviews""", ("reviews",))
+    SELECT doc_id, array_to_string(list_filter({words_sql('review')}, lambda x: x NOT IN {STOP}), ' ') AS words FROM reviews""", ("reviews",))
 def _(t):
-    return t.reviews.select("doc_id", F.array_join(tx.tokens(F.col("title")), " ").alias("words"))
+    return t.reviews.select("doc_id", F.array_join(tx.tokens(F.col("review")), " ").alias("words"))
 
 
 DOC_TERM = f"""
-    o AS (SELECT doc_id, unnest({words_sql('title')}) AS term FROM reviews),
+    o AS (SELECT doc_id, unnest({words_sql('review')}) AS term FROM reviews),
     c AS (SELECT doc_id, term, count(*) AS tf FROM o WHERE term NOT IN {STOP} GROUP BY 1, 2),
     k AS (SELECT term, count(*) AS df FROM c GROUP BY 1 HAVING count(*) >= 2 AND count(*) <= 0.8 * (SELECT count(*) FROM reviews))"""
 
@@ -88,32 +88,32 @@ DOC_TERM = f"""
 ---
     SELECT doc_id, term, tf, df FROM c JOIN k USING (term)""", ("reviews",))
 def _(t):
-    return tx.doc_term(t.reviews, "doc_id", "title")
+    return tx.doc_term(t.reviews, "doc_id", "review")
 
 
 @query("txt_vocab_sample", "+" + DOC_TERM + """
 ---
     SELECT term FROM k ORDER BY md5(term), term LIMIT 10""", ("reviews",))
 def _(t):
-    return tx.vocabulary_sample(tx.doc_term(t.reviews, "doc_id", "title"))
+    return tx.vocabulary_sample(tx.doc_term(t.reviews, "doc_id", "review"))
 
 
 @query("txt_lda")
 def _(t):
     """Topic weights of every document."""
-    _, model, features = tx.topic_model(t.reviews, "doc_id", "title")
+    _, model, features = tx.topic_model(t.reviews, "doc_id", "review")
     return tx.topic_weights(model, features, "doc_id")
 
 
 @query("txt_topic_words")
 def _(t):
-    vocabulary, model, _ = tx.topic_model(t.reviews, "doc_id", "title")
+    vocabulary, model, _ = tx.topic_model(t.reviews, "doc_id", "review")
     return tx.topic_words(model, vocabulary)
 
 
 @query("txt_assign_topic")
 def _(t):
-    _, model, features = tx.topic_model(t.reviews, "doc_id", "title")
+    _, model, features = tx.topic_model(t.reviews, "doc_id", "review")
     return tx.assign_topic(model, features, "doc_id")
 
 

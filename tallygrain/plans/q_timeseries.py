@@ -132,7 +132,7 @@ def _(t):
     return rounded(ts.trend_season_forecast(s, ts.trend_season_fit(s, KEYS, "y"), KEYS, H), 3)
 
 
-ERRORS = """avg({e}) AS me, sqrt(avg(({e}) ^ 2)) AS rmse, avg(abs({e})) AS mae, avg(100 * ({e}) / y) AS mpe, avg(abs(100 * ({e}) / y)) AS mape"""
+ERRORS = """avg({e}) AS me, sqrt(avg(({e}) ^ 2)) AS rmse, avg(abs({e})) AS mae, avg(100 * ({e}) / nullif(y, 0)) AS mpe, avg(abs(100 * ({e}) / nullif(y, 0))) AS mape"""
 
 
 @query("ts_accuracy", "+" + TRAIN_FIT + ",\n    a AS (SELECT market, " + ERRORS.format(e="y - (intercept + slope * t)") + """ FROM test JOIN fit USING (market, season) GROUP BY market)
@@ -206,7 +206,7 @@ def _(t):
     p AS (SELECT market, 'trend_season' AS model, y, intercept + slope * t AS f FROM test JOIN fit USING (market, season)
           UNION ALL SELECT market, 'ses_' || alpha, test.y, level FROM test JOIN (SELECT market, alpha, arg_max(level, t) AS level FROM levels GROUP BY 1, 2) USING (market)
           UNION ALL SELECT s.market, 'seasonal_naive', s.y, o.y FROM test s JOIN series o ON o.market = s.market AND o.t = s.t - 12),
-    m AS (SELECT market, model, avg(abs(100 * (y - f) / y)) AS mape FROM p GROUP BY 1, 2)
+    m AS (SELECT market, model, avg(abs(100 * (y - f) / nullif(y, 0))) AS mape FROM p GROUP BY 1, 2)
 ---
     SELECT market, model, round(mape, 6) AS mape, mape = min(mape) OVER (PARTITION BY market) AS is_best FROM m""", ("series",))
 def _(t):

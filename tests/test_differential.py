@@ -7,13 +7,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from tallygrain.plans import catalog
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # The smallest tables leave whole months without sales; series need the next size.
 SERIES_FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 SERIES = ("ts_", "win_moving", "win_lag", "fn_sin")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 
 def connect(folder):

@@ -1,11 +1,10 @@
 """What the physical plans must and must not contain."""
 
-import __spark_entry__ as entry_point
 import pytest
 from pyspark.sql import functions as F
 
 from tallygrain.operators import relational as rel
-from tallygrain.plans import q_quality
+from tallygrain.plans import catalog, q_quality
 from tallygrain.plans.standins import Tables
 from tallygrain.operators import quality
 
@@ -18,9 +17,9 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_point.queries()) - FITTED))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - FITTED))
 def test_no_product_joins_and_no_row_wise_python(spark, name):
-    plan = plan_of(entry_point.queries()[name](spark, FOLDER))
+    plan = plan_of(catalog.QUERIES[name](spark, FOLDER))
     for bad in ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "CollectLimit "]:
         assert bad not in plan, plan
 
@@ -30,7 +29,7 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = plan_of(t.orders.where(F.col("o_totalprice") > 1000).select("o_orderkey"))
     assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,1000.0)]" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan
-    narrow = plan_of(entry_point.queries()["agg_count_by"](spark, FOLDER))
+    narrow = plan_of(catalog.QUERIES["agg_count_by"](spark, FOLDER))
     assert "ReadSchema: struct<l_linestatus:string>" in narrow
 
 
