@@ -25,7 +25,7 @@ LEAF_SAMPLE = 16
 #: Leaf visits widen until this share of the true neighbours of CALIBRATION queries is in the leaves.
 RECALL = 0.98
 CALIBRATION = 200
-#: Rows of a leaf, and queries, that a task compares at once.
+#: Rows of a cell (small leaves together, or a part of a large one), and queries, that a task compares at once, about.
 BLOCK = 2048
 SEED = 11
 
@@ -132,23 +132,46 @@ def _assign(tree: Tree):
     return run
 
 
-def _visits(tree: Tree, visits: int):
-    """A row per query and leaf, with the leaf's place in the order of visits."""
+_ASKED = "query_id long, qv array<double>, cell long, leaves array<long>"
+
+
+def _visits(tree: Tree, visits: int, cells: dict[int, tuple[int, int]]):
+    """A row per query and cell that holds rows of the leaves it visits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = _matrix(batch.column("v").to_pylist())
-            found = [tree.best_bins(r, visits) for r in (_unit(rows) if len(rows) else rows)]
-            take = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
-            leaf = np.concatenate([np.array(f, np.int64) for f in found]) if found else np.zeros(0, np.int64)
-            place = np.concatenate([np.arange(len(f)) for f in found]) if found else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(take), batch.column("v").take(take), pa.array(leaf), pa.array(place)], ["query_id", "qv", "leaf", "place"])
+            take, cell, leaves = [], [], []
+            for i, row in enumerate(_unit(rows) if len(rows) else rows):
+                wanted: dict[int, list[int]] = {}
+                for leaf in tree.best_bins(row, visits):
+                    first, n = cells.get(leaf, (0, 0))
+                    for c in range(first, first + n):
+                        wanted.setdefault(c, []).append(leaf)
+                take += [i] * len(wanted)
+                cell += wanted
+                leaves += wanted.values()
+            at = pa.array(take, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(at), batch.column("v").take(at), pa.array(cell, pa.int64()), pa.array(leaves, pa.list_(pa.int64()))], ["query_id", "qv", "cell", "leaves"])
+
+    return run
+
+
+def _places(tree: Tree):
+    """For each query and true neighbour (``leaf``) the place of its leaf in the order of visits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = _matrix(batch.column("v").to_pylist())
+            order = [tree.best_bins(r, tree.leaves) for r in (_unit(rows) if len(rows) else rows)]
+            place = [o.index(leaf) for o, leaf in zip(order, batch.column("leaf").to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(place, pa.int64())], ["place"])
 
     return run
 
 
 def _compare(k: int):
-    """Within a block of a leaf: for each query the rows that may be among its ``k`` nearest, with exact scores.
+    """Within a cell: for each query the rows of its leaves that may be among its ``k`` nearest, with exact scores.
 
     A row stands for all rows with its vector by their ``k + 1`` smallest ids. One more row than ``k`` is kept, as the query's own may not count.
     """
@@ -157,10 +180,12 @@ def _compare(k: int):
         out = []
         if len(queries) and len(rows):
             q, b = _matrix(queries["qv"].tolist()), _matrix(rows["v"].tolist())
-            near = _unit(q) @ _unit(b).T
+            leaves, of_row = np.unique(rows["leaf"].to_numpy(), return_inverse=True)
+            visited = np.array([np.isin(leaves, x) for x in queries["leaves"]])
+            near = np.where(visited[:, of_row], _unit(q) @ _unit(b).T, -np.inf)
             keep = min(k + 1, len(b))
             least = np.partition(near, len(b) - keep, axis=1)[:, len(b) - keep]
-            at, row = np.nonzero(near >= least[:, None] - 1e-12)
+            at, row = np.nonzero((near >= least[:, None] - 1e-12) & np.isfinite(near))
             score = _cosine(q[at], b[row])
             ids, own = rows["ids"].to_numpy(), queries["query_id"].to_numpy()
             for i, r, s in zip(at, row, score):
@@ -179,16 +204,13 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _in_blocks(queries: DataFrame, rows: DataFrame, per_leaf: DataFrame, k: int) -> DataFrame:
-    """Candidates of ``queries`` (``query_id``, ``qv``, ``leaf``) among ``rows`` (``v``, ``ids``, ``leaf``), leaf by leaf in blocks of bounded size."""
-    asked = materialize(queries.groupBy("leaf").agg(F.count("*").alias("asked")), "asked")
-    parts = materialize(per_leaf.join(asked, "leaf").select("leaf", F.ceil(F.col("rows") / BLOCK).alias("rb"), F.ceil(F.col("asked") / BLOCK).alias("qb")), "parts")
-    mine = F.pmod(F.xxhash64("query_id"), F.col("qb")).alias("qblock")
-    left = queries.join(parts, "leaf").select("leaf", mine, F.explode(F.sequence(F.lit(0).cast("long"), F.col("rb") - 1)).alias("rblock"), "query_id", "qv")
-    own = F.pmod(F.xxhash64("v"), F.col("rb")).alias("rblock")
-    right = rows.join(parts, "leaf").select("leaf", own, F.explode(F.sequence(F.lit(0).cast("long"), F.col("qb") - 1)).alias("qblock"), "v", "ids")
-    keys = ["leaf", "qblock", "rblock"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_compare(k), _FOUND)
+def _in_cells(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """Candidates of ``queries`` (``_ASKED``) among ``rows`` (``v``, ``ids``, ``leaf``, ``cell``), cell by cell against blocks of queries of bounded size."""
+    asked = queries.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    parts = materialize(asked, "asked")
+    left = queries.join(parts, "cell").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks"))).drop("blocks")
+    right = rows.join(parts, "cell").select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "leaf", "v", "ids")
+    return left.groupBy("cell", "block").cogroup(right.groupBy("cell", "block")).applyInPandas(_compare(k), _FOUND)
 
 
 class Index:
@@ -208,25 +230,34 @@ class Index:
         self.tree = Tree()
         leaf_sample = max(LEAF_SAMPLE, round(len(rows) * LEAF_ROWS / max(1, self.total)))
         self.tree.grow(rows, leaf_sample, np.random.default_rng(SEED))
-        self.rows = materialize(distinct.mapInArrow(_assign(self.tree), "v array<double>, ids array<long>, leaf long"), "leaves")
-        self.per_leaf = materialize(self.rows.groupBy("leaf").agg(F.count("*").alias("rows")), "per_leaf")
+        placed = materialize(distinct.mapInArrow(_assign(self.tree), "v array<double>, ids array<long>, leaf long"), "leaves")
+        # Leaves in order fill cells of BLOCK rows; a larger leaf is spread over as many as it needs. There are as many leaves as the sample allows.
+        self.cells: dict[int, tuple[int, int]] = {}
+        before = 0
+        for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).orderBy("leaf").collect():
+            self.cells[r["leaf"]] = (before // BLOCK, -(-r["n"] // BLOCK))
+            before += r["n"]
+        parts = vectors.sparkSession.createDataFrame([(leaf, *c) for leaf, c in self.cells.items()], "leaf long, first long, n long")
+        self.rows = materialize(placed.join(parts, "leaf").select("v", "ids", "leaf", (F.col("first") + F.pmod(F.xxhash64("v"), F.col("n"))).alias("cell")), "cells")
         self.queries = usable
         self.visits = self._calibrated(recall)
 
+    def _found(self, queries: DataFrame, visits: int) -> DataFrame:
+        asked = materialize(queries.mapInArrow(_visits(self.tree, visits, self.cells), _ASKED), "visits")
+        return _ranked(_in_cells(asked, self.rows, self.k), self.k)
+
     def _calibrated(self, recall: float) -> int:
         """Fewest visits after which the leaves hold the wanted share of the neighbours that a full comparison finds for some rows."""
-        some = self.queries.orderBy(F.xxhash64("id"), "id").limit(CALIBRATION)
-        everywhere = materialize(some.mapInArrow(_visits(self.tree, max(1, self.tree.leaves)), "query_id long, qv array<double>, leaf long, place long"), "everywhere")
-        truth = _ranked(_in_blocks(everywhere.drop("place"), self.rows, self.per_leaf, self.k), self.k)
-        home = self.rows.select(F.explode("ids").alias("vec_id"), F.col("leaf"))
-        at = truth.join(home, "vec_id").join(everywhere.select("query_id", "leaf", "place"), ["query_id", "leaf"])
-        needed = np.sort([r["place"] for r in at.select("place").collect()])  # CALIBRATION times k at most
+        some = materialize(self.queries.orderBy(F.xxhash64("id"), "id").limit(CALIBRATION), "calibration")
+        truth = self._found(some, max(1, self.tree.leaves))
+        home = self.rows.select(F.explode("ids").alias("vec_id"), "leaf")
+        at = truth.join(home, "vec_id").join(some.withColumnRenamed("id", "query_id"), "query_id").select("v", "leaf")
+        needed = np.sort([r["place"] for r in at.mapInArrow(_places(self.tree), "place long").collect()])  # CALIBRATION times k at most
         return int(needed[min(len(needed), int(np.ceil(recall * len(needed)))) - 1]) + 1 if len(needed) else 1
 
     def search(self, queries: DataFrame) -> DataFrame:
         """``query_id``, ``rank``, ``vec_id``, ``score`` for ``queries`` (``id``, ``v``): the nearest rows but the query's own, ties to the smaller id."""
-        visits = materialize(queries.distinct().mapInArrow(_visits(self.tree, self.visits), "query_id long, qv array<double>, leaf long, place long").drop("place"), "visits")
-        return _ranked(_in_blocks(visits, self.rows, self.per_leaf, self.k), self.k)
+        return self._found(queries.distinct(), self.visits)
 
 
 def nearest(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding", recall: float = RECALL) -> DataFrame:
