@@ -12,8 +12,8 @@ from tallygrain.session import local_session
 
 HEADLINE = [
     "dq_error_by_provider", "dq_rule_scorecard", "dq_dedup_key_keep_one", "dq_percentile_grid", "dq_box_stats", "sink_orc_partitioned", "agg_conditional_avg",
-    "agg_multi_by", "join_agg_back", "topk_group_company", "win_dense_rank_topk", "ts_trend_season_forecast", "ts_ses", "rec_user_similarity", "rec_eval_topn",
-    "ml_cutoff_sweep", "ml_decile_lift", "txt_word_frequency", "txt_doc_term",
+    "agg_multi_by", "join_agg_back", "topk_group_company", "win_dense_rank_topk", "ts_trend_season_forecast", "ts_ses", "rec_user_similarity", "rec_eval_topn", "rec_eval_kfold",
+    "ml_cutoff_sweep", "ml_decile_lift", "ml_logit_fit", "txt_word_frequency", "txt_doc_term", "txt_lda",
 ]
 
 

@@ -9,6 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 128
+#: A range is meant to hold so many rows; the driver holds that many cut points at most, which bounds the broadcast of range tables.
+ROWS_PER_RANGE = 2_000_000
+MOST_RANGES = 20_000
+
+
+def ranges_for(df: DataFrame, least: int = BUCKETS) -> int:
+    """Number of ranges for ``df``, in proportion to its rows between ``least`` and ``MOST_RANGES``."""
+    return max(least, min(MOST_RANGES, -(-df.count() // ROWS_PER_RANGE)))
 
 
 def cut_points(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> dict[str, list[float]]:

@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallygrain.operators.cuts import BUCKETS, assign, cut_points
+from tallygrain.operators.cuts import assign, cut_points, ranges_for
 
 _WORK = ["_key", "_slot", "_sub", "_before", "_total"]
 
 
 def _slotted(df: DataFrame, key: str, tie: str | None, descending: bool, buckets: int) -> DataFrame:
-    """Place rows in slots whose order agrees with (key, tie) and whose size is bounded.
+    """Place rows in slots whose order agrees with (key, tie); more rows get more slots, up to the bound of ``ranges_for``.
 
     Cut points divide the key into ranges. A value that is itself a cut point, possibly a very
     frequent one, gets a slot of its own, and such single-valued slots are divided further by ranges
@@ -31,13 +31,13 @@ def _slotted(df: DataFrame, key: str, tie: str | None, descending: bool, buckets
     return placed.withColumns({"_slot": slot, "_sub": sub}).drop("_key_range", "_sub_range")
 
 
-def global_row_number(df: DataFrame, score: str, tie: str, descending: bool = False, out: str = "row_number", buckets: int = BUCKETS) -> DataFrame:
+def global_row_number(df: DataFrame, score: str, tie: str, descending: bool = False, out: str = "row_number", buckets: int | None = None) -> DataFrame:
     """Exact 1-based row number by (score, tie) over the whole frame, plus the row count as ``<out>_of``.
 
     ``score`` and ``tie`` are numeric and ``tie`` is unique. The frame is read twice more than once
     (cut points, slot sizes), so an expensive one should be materialized by the caller.
     """
-    placed = _slotted(df, score, tie, descending, buckets)
+    placed = _slotted(df, score, tie, descending, buckets or ranges_for(df))
     sizes = placed.groupBy("_slot", "_sub").agg(F.count("*").alias("_rows"))
     # one row per slot: bounded by the number of cut points, whatever the data
     upto = Window.orderBy("_slot", "_sub").rowsBetween(Window.unboundedPreceding, 0)
@@ -67,9 +67,9 @@ def ntile(df: DataFrame, groups: int, score: str, tie: str, descending: bool = F
     return numbered.withColumn(out, tile.cast("int")).drop("_rn", "_rn_of")
 
 
-def running_totals(df: DataFrame, key: str, sums: Sequence[str], descending: bool = False, buckets: int = BUCKETS) -> DataFrame:
+def running_totals(df: DataFrame, key: str, sums: Sequence[str], descending: bool = False, buckets: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` and ``all_<c>`` for every column in ``sums``; ``key`` is unique per row."""
-    placed = _slotted(df, key, None, descending, buckets)
+    placed = _slotted(df, key, None, descending, buckets or ranges_for(df))
     sizes = placed.groupBy("_slot").agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
     # one row per slot: bounded by the number of cut points, whatever the data
     upto = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)

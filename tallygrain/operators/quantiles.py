@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallygrain.operators.cuts import BUCKETS, assign, cut_points
+from tallygrain.operators.cuts import BUCKETS, assign, cut_points, ranges_for
 from tallygrain.session import materialize
 
 
@@ -21,7 +21,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     reduces to a single row. Many quantiles ask for more ranges, so that the ranges they touch stay a
     small part of the data. NULL values and NULL groups are left out.
     """
-    by, buckets = list(by), buckets or max(BUCKETS, 8 * len(probs))
+    by, buckets = list(by), buckets or ranges_for(df, max(BUCKETS, 8 * len(probs)))
     keys = [*by, "column_name"]
     placed = assign(df, cut_points(df, columns, buckets))
     cells = F.array(

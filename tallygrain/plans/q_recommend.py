@@ -126,21 +126,28 @@ def _(t):
     return rel.group_counts(t.ratings, "rating")
 
 
+def _first(t, axis: str):
+    """Active ratings of the first ten users or items, whose similarities are compared."""
+    rated = active(t)
+    return rated.join(rated.select(axis).distinct().orderBy(axis).limit(10), axis, "left_semi")
+
+
 def _pairs_sql(row: str, column: str) -> str:
-    return f"""+{ACTIVE}
+    return f"""+{ACTIVE},
+    f AS (SELECT * FROM r WHERE {row} IN (SELECT DISTINCT {row} FROM r ORDER BY 1 LIMIT 10))
 ---
     SELECT x.{row}::BIGINT AS a, y.{row}::BIGINT AS b, count(*) AS n, round(sum(x.rating * y.rating) / (sqrt(sum(x.rating * x.rating)) * sqrt(sum(y.rating * y.rating))), 9) AS sim
-    FROM r x JOIN r y ON x.{column} = y.{column} AND x.{row} < y.{row} GROUP BY 1, 2 HAVING count(*) >= 2"""
+    FROM f x JOIN f y ON x.{column} = y.{column} AND x.{row} < y.{row} GROUP BY 1, 2 HAVING count(*) >= 2"""
 
 
 @query("rec_user_similarity", _pairs_sql('"user"', "item"), ("ratings",))
 def _(t):
-    return rec.similarity(active(t), "user")
+    return rec.similarity(_first(t, "user"), "user")
 
 
 @query("rec_item_similarity", _pairs_sql("item", '"user"'), ("ratings",))
 def _(t):
-    return rec.similarity(active(t), "item")
+    return rec.similarity(_first(t, "item"), "item")
 
 
 @query("rec_split", "+" + SPLIT + """

@@ -178,6 +178,15 @@ def _(t):
     return rounded(ts.arima_search(series(t), KEYS, "y", h=H), 3)
 
 
+@query("ts_arima_holdout")
+def _(t):
+    """Errors of the order chosen on the training part against the months held out."""
+    train, test = training(t)
+    ahead = ts.arima_search(train.select(*KEYS, "t", "y"), KEYS, "y", h=H).select("market", "t", "forecast")
+    joined = test.select("market", "t", "y").join(ahead, ["market", "t"])
+    return rounded(ts.accuracy(joined, KEYS, "y", "forecast"), 3, mpe=6, mape=6)
+
+
 @query("ts_residuals", "+" + TRAIN_FIT + """
 ---
     SELECT market, t, round(y - (intercept + slope * t), 3) + 0.0 AS e FROM train JOIN fit USING (market, season)""", ("series",))
