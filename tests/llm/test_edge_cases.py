@@ -5,6 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallygrain.llm import kmeans_tree, language_id, line_dedup, mixing, packing, quality_rules, simhash_dedup, url_filter, warc, wrapper_induction
+from tallygrain.llm.common import ready
+
+@pytest.fixture(autouse=True)
+def settings(spark):
+    ready(spark)
+
 
 LONG = "lorem ipsum dolor sit amet " * 8000
 PROSE = " ".join(f"word{i} of prose" for i in range(60))

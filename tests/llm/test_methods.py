@@ -8,6 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallygrain.llm import graph, kmeans_tree, line_dedup, mixing, packing, queries, quality_rules, simhash_dedup, url_filter, warc, wrapper_induction
+from tallygrain.llm.common import ready
+
+@pytest.fixture(autouse=True)
+def settings(spark):
+    ready(spark)
+
 
 FOLDER = "/root/testdata/sf0.01"
 

@@ -11,6 +11,12 @@ sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "..", "tools"))
 from check_oracle import TABLES, rows_of
 
 from tallygrain.llm import queries
+from tallygrain.llm.common import ready
+
+@pytest.fixture(autouse=True)
+def settings(spark):
+    ready(spark)
+
 
 FOLDER = "/root/testdata/sf0.01"
 
