@@ -80,3 +80,8 @@ def test_swipes_pair_only_full_days(spark):
     i = spark.createDataFrame([(1, "i1", None), (2, "i2", "i3")], "id int, d1 string, d2 string")
     o = spark.createDataFrame([(1, "o1", "o9"), (2, "o2", None)], "id int, d1 string, d2 string")
     assert rows(reshape.swipe_pairs(i, o, "id")) == [(1, "d1", "i1", "o1"), (2, "d1", "i2", "o2")]
+
+
+def test_clock_of_null_is_null(spark):
+    df = spark.createDataFrame([(None,), (0,), (725,)], "m int")
+    assert [r[0] for r in df.select(scalars.clock("m")).collect()] == [None, "00:00", "12:05"]

@@ -101,3 +101,14 @@ def test_partitioned_orc_overwrites_only_touched_partitions(spark, tmp_path):
     assert sorted((r.m, r.d, r.x) for r in back.collect()) == [(11, 1, 1.0), (12, 2, 9.0)]
     plan = back.where("m = 12")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(m" in plan
+
+
+def test_ranges_grow_with_rows_up_to_a_bound(spark, monkeypatch):
+    from tallygrain.operators import cuts
+
+    df = spark.range(5000)
+    assert cuts.ranges_for(df) == cuts.BUCKETS
+    monkeypatch.setattr(cuts, "ROWS_PER_RANGE", 10)
+    assert cuts.ranges_for(df) == 500 and cuts.ranges_for(df, 900) == 900
+    monkeypatch.setattr(cuts, "MOST_RANGES", 300)
+    assert cuts.ranges_for(df) == 300
