@@ -45,7 +45,7 @@ def test_banded_distance(spark, edits):
         rows.append((a, edited(a, rng.randint(0, edits + 3), rng)))
     rows = [(a, b) for a, b in rows if abs(len(a) - len(b)) <= edits]
     frame = spark.createDataFrame(rows, "a string, b string")
-    got = frame.select("a", "b", line_dedup.bounded_distance(F.split("a", ""), F.split("b", ""), edits).alias("d")).collect()
+    got = frame.select("a", "b", line_dedup.bounded_distance(F.col("a"), F.col("b"), edits).alias("d")).collect()
     assert all(min(r["d"], edits + 1) == min(distance(r["a"], r["b"]), edits + 1) for r in got)
 
 
