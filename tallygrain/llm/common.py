@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygrain.session import prepare, ship_by_value
 
-__all__ = ["ready", "table", "require", "fresh", "host_of", "path_of", "ship_by_value", "ASCII_UPPER", "ASCII_LOWER"]
+__all__ = ["ready", "table", "require", "fresh", "host_of", "path_of", "per_worker", "ship_by_value", "ASCII_UPPER", "ASCII_LOWER"]
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -41,6 +45,17 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def per_worker(kind: str, key: str, make: Callable[[], object]) -> object:
+    """``make()``, once per Python worker for a ``key``; the last key of each ``kind`` is kept.
+
+    Modules shipped by value begin anew with every task, so what is dear to build lives beside them.
+    """
+    kept = sys.modules.setdefault("_tallygrain_worker", types.ModuleType("_tallygrain_worker")).__dict__
+    if kept.get(kind, ("", None))[0] != key:
+        kept[kind] = (key, make())
+    return kept[kind][1]
+
+
 def host_of(url: Column) -> Column:
     """Between the first ``://`` and the next ``/``, ``?``, ``#`` or the end, A-Z lower-cased; empty for NULL or no ``://``."""
     host = F.regexp_extract(url, r"(?s)\A.*?://([^/?#]*)", 1)
