@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallygrain.llm.common import fresh, ready, require, table
+from tallygrain.llm.common import ready, require, table
 from tallygrain.session import materialize
 
 SEED = 17
@@ -16,6 +16,10 @@ BUDGET_SHARE = 0.6
 BUCKET_ROWS = 512
 
 LEVELS = ["domain", "lang", "source"]
+#: The seeded order of a leaf; rows that are equal in all of it have equal texts, and any of them stands for the others.
+_ORDER = ["key", "id", "tokens", "text_hash"]
+#: Leaves that are sent to all tasks.
+FEW_LEAVES = 100_000
 
 
 def words(text: Column) -> Column:
@@ -75,24 +79,35 @@ def mix(docs: DataFrame, weights: DataFrame, domain: Column, budget_share: float
     of all rows is spread over the cluster; sums of buckets say where each starts.
     """
     require(docs, id_col, text_col, lang_col, source_col)
-    named = [F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in zip(LEVELS, (domain, F.col(lang_col), F.col(source_col)))]
-    rows = materialize(docs.select(F.col(id_col).alias("id"), *named, words(F.col(text_col)).alias("tokens")), "sizes")
+    used = _placed(docs, weights, domain, budget_share, max_epochs, seed, bucket_rows, id_col, text_col, lang_col, source_col)
+    return used.select(F.col("id").alias(id_col), *LEVELS, "tokens", "leaf_budget", (F.col("epochs") + F.col("inside").cast("long")).cast("int").alias("times"))
+
+
+def _leaf(domain: Column, lang_col: str, source_col: str) -> list[Column]:
+    return [F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in zip(LEVELS, (domain, F.col(lang_col), F.col(source_col)))]
+
+
+def _order_key(seed: int, row_id: Column) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(seed), F.col("epochs"), F.coalesce(row_id.cast("string"), F.lit(""))).cast("binary"))
+
+
+def _placed(docs: DataFrame, weights: DataFrame, domain: Column, budget_share: float, max_epochs: int, seed: int, bucket_rows: int, id_col: str, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    """Rows without their texts: ``id``, ``LEVELS``, ``tokens``, ``key`` and ``text_hash``, the leaf's budget and ``epochs``, and whether the prefix holds them (``inside``)."""
+    rows = materialize(docs.select(F.col(id_col).alias("id"), *_leaf(domain, lang_col, source_col), words(F.col(text_col)).alias("tokens"), F.xxhash64(text_col).alias("text_hash")), "sizes")
     leaves = materialize(rows.groupBy(*LEVELS).agg(F.count("*").alias("docs"), F.sum("tokens").alias("tokens")), "leaves")
     total = leaves.agg(F.sum("tokens")).first()[0] or 0
     given = materialize(budgets(leaves, weights, int(total * budget_share), max_epochs), "budgets")
     epochs = F.when(F.col("tokens") > 0, F.floor(F.col("given") / F.col("tokens"))).otherwise(0).cast("long")
     leaf = given.withColumn("epochs", epochs).withColumn("rest", F.col("given") - F.col("epochs") * F.col("tokens")).select(*LEVELS, F.col("given").alias("leaf_budget"), "epochs", "rest", F.ceil(F.col("docs") / bucket_rows).alias("buckets"))
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.col("epochs"), F.coalesce(F.col("id").cast("string"), F.lit(""))).cast("binary"))
     lead = F.conv(F.substring(F.col("key"), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
-    placed = rows.join(leaf, LEVELS).withColumn("key", key).withColumn("bucket", F.floor(lead * F.col("buckets")))
+    placed = rows.join(leaf, LEVELS).withColumn("key", _order_key(seed, F.col("id"))).withColumn("bucket", F.floor(lead * F.col("buckets")))
     placed = materialize(placed, "placed")
     sums = placed.groupBy(*LEVELS, "bucket").agg(F.sum("tokens").alias("n"))
     along = Window.partitionBy(*LEVELS).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = materialize(sums.select(*LEVELS, "bucket", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("start")), "starts")
-    inside = Window.partitionBy(*LEVELS, "bucket").orderBy("key", "id", "tokens").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*LEVELS, "bucket").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0)
     upto = placed.withColumn("upto", F.sum("tokens").over(inside)).join(starts, [*LEVELS, "bucket"])
-    times = F.col("epochs") + F.when((F.col("rest") > 0) & (F.col("start") + F.col("upto") <= F.col("rest")), 1).otherwise(0)
-    return upto.select(F.col("id").alias(id_col), *LEVELS, "tokens", "leaf_budget", times.cast("int").alias("times"))
+    return upto.withColumn("inside", (F.col("rest") > 0) & (F.col("start") + F.col("upto") <= F.col("rest")))
 
 
 #: Targets of the query: domains, then languages; sources weigh alike.
@@ -108,13 +123,33 @@ def domain_of(source: Column) -> Column:
     return F.when(source == "src0", "crawl").when(source.isin("src1", "src2", "src3", "src4"), "reference").otherwise("forum")
 
 
-def mixed_documents(docs: DataFrame, weights: DataFrame) -> DataFrame:
-    """Rows of ``docs`` as often as the mix uses them."""
-    use = mix(docs, weights, domain_of(F.col("source"))).where("times > 0").groupBy("doc_id").agg(F.max("times").alias("times"))
-    doc, times = fresh(docs, "used"), fresh(docs, "times")
-    used = materialize(use.select(F.col("doc_id").alias(doc), F.col("times").alias(times)), "used")
-    joined = docs.join(used, docs["doc_id"].eqNullSafe(used[doc]))
-    return joined.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), used[times])).alias(times)).drop(times)
+def mixed_documents(docs: DataFrame, weights: DataFrame, seed: int = SEED, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Rows of ``docs`` as often as the mix uses them: rows, edge cases and orders as of ``mix``, decided row by row.
+
+    The prefix of a leaf ends at one place of its order, so that rows are decided where they are read; only a leaf's last place is looked up. Of
+    rows that are equal to it (equal ids and texts), as many are used as fit.
+    """
+    require(docs, "doc_id", "text", "lang", "source")
+    domain = domain_of(F.col("source"))
+    used = materialize(_placed(docs, weights, domain, BUDGET_SHARE, MAX_EPOCHS, seed, bucket_rows, "doc_id", "text", "lang", "source").select(*LEVELS, *_ORDER, "epochs", "inside"), "used")
+    place = F.struct(*_ORDER)
+    ends = used.groupBy(*LEVELS).agg(F.first("epochs").alias("epochs"), F.max(F.when(F.col("inside"), place)).alias("end"))
+    ends = materialize(ends, "ends")
+    at_end = used.join(ends.select(*LEVELS, "end"), LEVELS).where(place == F.col("end")).groupBy(*LEVELS).agg(F.count("*").alias("copies"), F.count_if("inside").alias("fit"))
+    leaf = materialize(ends.join(at_end, LEVELS, "left").select(*[F.col(c).alias(f"_{c}") for c in LEVELS], "epochs", "end", "copies", "fit"), "leaf_ends")
+    leaf = F.broadcast(leaf) if leaf.count() <= FEW_LEAVES else leaf
+
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), words(F.col("text")).alias("tokens"), F.xxhash64("text").alias("text_hash"), *_leaf(domain, "lang", "source"))
+    known = held.join(leaf, [F.col(c) == F.col(f"_{c}") for c in LEVELS]).withColumn("key", _order_key(seed, F.col("id")))
+    split = F.coalesce((place == F.col("end")) & (F.col("fit") < F.col("copies")), F.lit(False))
+    more = F.coalesce(place <= F.col("end"), F.lit(False)).cast("long")
+    whole = known.where(~split).select("row", (F.col("epochs") + more).alias("times"))
+    ties = known.where(split).groupBy("row", *LEVELS).agg(F.count("*").alias("n"), F.first("epochs").alias("epochs"), F.first("fit").alias("fit"))
+    before = Window.partitionBy(*LEVELS).orderBy(F.xxhash64("row")).rowsBetween(Window.unboundedPreceding, -1)  # rows that differ in other columns only
+    room = F.col("fit") - F.coalesce(F.sum("n").over(before), F.lit(0))
+    shared = ties.select("row", (F.col("n") * F.col("epochs") + F.least(F.greatest(room, F.lit(0)), "n")).alias("times"))
+    repeated = whole.unionByName(shared).where("times > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("time"))
+    return repeated.select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
