@@ -137,19 +137,28 @@ def mixed_documents(docs: DataFrame, weights: DataFrame, seed: int = SEED, bucke
     ends = materialize(ends, "ends")
     at_end = used.join(ends.select(*LEVELS, "end"), LEVELS).where(place == F.col("end")).groupBy(*LEVELS).agg(F.count("*").alias("copies"), F.count_if("inside").alias("fit"))
     leaf = materialize(ends.join(at_end, LEVELS, "left").select(*[F.col(c).alias(f"_{c}") for c in LEVELS], "epochs", "end", "copies", "fit"), "leaf_ends")
+    divided = leaf.where("fit < copies").limit(1).count() > 0
     leaf = F.broadcast(leaf) if leaf.count() <= FEW_LEAVES else leaf
 
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), words(F.col("text")).alias("tokens"), F.xxhash64("text").alias("text_hash"), *_leaf(domain, "lang", "source"))
+    # Generated columns are computed once; as expressions they would be computed anew in every condition.
+    sizes = F.array(F.struct(words(F.col("text")).alias("tokens"), F.xxhash64("text").alias("text_hash")))
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), *_leaf(domain, "lang", "source"), F.inline(sizes))
     known = held.join(leaf, [F.col(c) == F.col(f"_{c}") for c in LEVELS]).withColumn("key", _order_key(seed, F.col("id")))
     split = F.coalesce((place == F.col("end")) & (F.col("fit") < F.col("copies")), F.lit(False))
     more = F.coalesce(place <= F.col("end"), F.lit(False)).cast("long")
-    whole = known.where(~split).select("row", (F.col("epochs") + more).alias("times"))
-    ties = known.where(split).groupBy("row", *LEVELS).agg(F.count("*").alias("n"), F.first("epochs").alias("epochs"), F.first("fit").alias("fit"))
+    used_up = (known.where(~split) if divided else known).select("row", (F.col("epochs") + more).alias("times"))
+    if divided:
+        used_up = used_up.unionByName(_shared(known.where(split)))
+    repeated = used_up.where("times > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("time"))
+    return repeated.select(*[F.col(f"row.`{c}`") for c in docs.columns])
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """``row`` and its ``times``, all copies together, of rows that are equal to the last place of their leaf's prefix."""
+    ties = rows.groupBy("row", *LEVELS).agg(F.count("*").alias("n"), F.first("epochs").alias("epochs"), F.first("fit").alias("fit"))
     before = Window.partitionBy(*LEVELS).orderBy(F.xxhash64("row")).rowsBetween(Window.unboundedPreceding, -1)  # rows that differ in other columns only
     room = F.col("fit") - F.coalesce(F.sum("n").over(before), F.lit(0))
-    shared = ties.select("row", (F.col("n") * F.col("epochs") + F.least(F.greatest(room, F.lit(0)), "n")).alias("times"))
-    repeated = whole.unionByName(shared).where("times > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("time"))
-    return repeated.select(*[F.col(f"row.`{c}`") for c in docs.columns])
+    return ties.select("row", (F.col("n") * F.col("epochs") + F.least(F.greatest(room, F.lit(0)), "n")).alias("times"))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
