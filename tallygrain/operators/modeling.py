@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import inheritable_thread_target
-from pyspark.ml.feature import VectorAssembler, VectorSlicer
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrain.operators.cuts import assign
 from tallygrain.operators.ordering import ntile, running_totals
 from tallygrain.operators.recommend import hash_bucket
+from tallygrain.session import ship_by_value
+
+ship_by_value(__name__)
 
 ALL = "all_features"
 
@@ -61,119 +61,172 @@ def target_profile(df: DataFrame, target: str, levels: Sequence[str], numeric: d
 
 # --- logistic regression -------------------------------------------------------
 
+MAX_STEPS, TOLERANCE = 50, 1e-10
+
 
 @dataclass
 class LogitFit:
-    """A fitted model with the names of its terms."""
+    """A fitted model: its terms, then the intercept, in ``beta`` and ``covariance``."""
 
-    model: object
     terms: list[str]
+    beta: np.ndarray
+    covariance: np.ndarray
+    rows: int
+    deviance: float
+    null_deviance: float
 
     @property
     def aic(self) -> float:
-        return self.model.summary.aic
+        return self.deviance + 2 * len(self.beta)
+
+    @property
+    def std_errors(self) -> np.ndarray:
+        return np.sqrt(np.diag(self.covariance))
 
     @property
     def p_values(self) -> dict[str, float]:
-        return dict(zip([*self.terms, "(Intercept)"], self.model.summary.pValues))
+        z = np.abs(self.beta) / self.std_errors
+        return {name: math.erfc(v / math.sqrt(2)) for name, v in zip([*self.terms, "(Intercept)"], z)}
 
     def coefficients(self, df: DataFrame) -> DataFrame:
         """(term, estimate, std_error, z, p, aic, null_deviance, residual_deviance)."""
-        s = self.model.summary
-        estimates = [*self.model.coefficients.toArray().tolist(), self.model.intercept]
+        p = self.p_values
         rows = [
-            (name, float(b), float(e), float(z), float(p), float(s.aic), float(s.nullDeviance), float(s.deviance))
-            for name, b, e, z, p in zip([*self.terms, "(Intercept)"], estimates, s.coefficientStandardErrors, s.tValues, s.pValues)
+            (name, float(b), float(e), float(b / e), p[name], float(self.aic), float(self.null_deviance), float(self.deviance))
+            for name, b, e in zip([*self.terms, "(Intercept)"], self.beta, self.std_errors)
         ]
         schema = "term string, estimate double, std_error double, z double, p double, aic double, null_deviance double, residual_deviance double"
         return df.sparkSession.createDataFrame(rows, schema)
 
     def predict(self, df: DataFrame, out: str = "score") -> DataFrame:
-        """Add the predicted probability; ``df`` comes from ``assemble``."""
-        return self.model.transform(_sliced(df, self.terms)).withColumnRenamed("prediction", out).drop("features")
+        """Add the predicted probability, an expression over the term columns; NULL where a term is."""
+        eta = F.lit(float(self.beta[-1]))
+        for term, b in zip(self.terms, self.beta):
+            eta = eta + F.lit(float(b)) * F.col(term).cast("double")
+        return df.withColumn(out, 1 / (1 + F.exp(-eta)))
 
 
 def assemble(df: DataFrame, terms: Sequence[str]) -> DataFrame:
-    """All candidate terms in one vector, so that selection only slices it."""
-    return VectorAssembler(inputCols=list(terms), outputCol=ALL).transform(df)
-
-
-def _sliced(df: DataFrame, terms: Sequence[str]) -> DataFrame:
-    return VectorSlicer(inputCol=ALL, outputCol="features", names=list(terms)).transform(df)
+    """All candidate terms in one array column."""
+    return df.withColumn(ALL, F.array(*[F.col(t).cast("double") for t in terms]))
+
+
+def _information(models: list[tuple[list[int], np.ndarray]]):
+    """Per task and model: X'WX, X'(y - mu) and the deviance, in one row of numbers; row -1 counts rows and sums y."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: list = [0.0] * len(models)
+        counts = np.zeros(2)
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            y, x = columns[0], np.column_stack([*columns[1:], np.ones(batch.num_rows)])
+            counts += [len(y), y.sum()]
+            for k, (places, beta) in enumerate(models):
+                own = x[:, [*places, x.shape[1] - 1]]
+                eta = own @ beta
+                mu = 1 / (1 + np.exp(-np.clip(eta, -700, 700)))
+                weighted = own * (mu * (1 - mu))[:, None]
+                deviance = 2 * (np.logaddexp(0, eta) - y * eta).sum()
+                totals[k] = totals[k] + np.concatenate([(own.T @ weighted).ravel(), own.T @ (y - mu), [deviance]])
+        if counts[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(range(-1, len(models)), pa.int32()), pa.array([counts, *totals], pa.list_(pa.float64()))], ["model", "sums"])
+
+    return run
+
+
+def fit_many(df: DataFrame, y: str, models: Sequence[Sequence[str]]) -> list[LogitFit]:
+    """Maximum likelihood for several sets of terms at once, by iterated weighted least squares.
+
+    An iteration is one pass over the rows for all models that still move: tasks return a matrix per model, as large as
+    its terms, and Spark adds them up. A step that raises the deviance is halved. Rows with a NULL in ``y`` or in any term of any model take no part.
+    """
+    every = list(dict.fromkeys(t for terms in models for t in terms))
+    frame = df.select(F.col(y).cast("double").alias("y"), *[F.col(t).cast("double").alias(f"x{i}") for i, t in enumerate(every)]).dropna()
+    places = [[every.index(t) for t in terms] for terms in models]
+    beta = [np.zeros(len(p) + 1) for p in places]
+    last = [(np.inf, b) for b in beta]  # deviance and coefficients of the last accepted step
+    fits: list[LogitFit | None] = [None] * len(models)
+    rows = ones = 0.0
+    for _ in range(MAX_STEPS):
+        moving = [k for k, fit in enumerate(fits) if fit is None]
+        if not moving:
+            break
+        parts = frame.mapInArrow(_information([(places[k], beta[k]) for k in moving]), "model int, sums array<double>")
+        summed = parts.select("model", F.posexplode("sums")).groupBy("model", "pos").agg(F.sum("col").alias("s")).collect()
+        found: dict[int, dict[int, float]] = {}
+        for r in summed:
+            found.setdefault(r["model"], {})[r["pos"]] = r["s"]
+        if not found:
+            raise ValueError("no row without NULL to fit")
+        rows, ones = found[-1][0], found[-1][1]
+        for at, k in enumerate(moving):
+            p = len(beta[k])
+            values = np.array([found[at][i] for i in range(p * p + p + 1)])
+            information, score, deviance = values[: p * p].reshape(p, p), values[p * p : -1], float(values[-1])
+            before, held = last[k]
+            if deviance > before * (1 + 1e-12) + 1e-12:
+                beta[k] = (beta[k] + held) / 2
+                continue
+            covariance = np.linalg.pinv(information, hermitian=True)
+            if abs(before - deviance) <= TOLERANCE * (abs(deviance) + 0.1):
+                share = ones / rows
+                null = -2 * sum(n * math.log(q) for n, q in ((ones, share), (rows - ones, 1 - share)) if n)
+                fits[k] = LogitFit(list(models[k]), beta[k], covariance, int(rows), deviance, null)
+                continue
+            last[k] = (deviance, beta[k])
+            beta[k] = beta[k] + covariance @ score
+    if any(fit is None for fit in fits):
+        raise ArithmeticError("the fit did not settle: a term may tell the outcomes apart completely")
+    return fits
 
 
 def logit(df: DataFrame, y: str, terms: Sequence[str]) -> LogitFit:
-    """Binomial GLM with logit link on the named slices of the assembled vector."""
-    glm = GeneralizedLinearRegression(family="binomial", link="logit", labelCol=y, featuresCol="features", maxIter=50, tol=1e-9)
-    return LogitFit(glm.fit(_sliced(df, terms)), list(terms))
+    """Binomial GLM with logit link."""
+    return fit_many(df, y, [terms])[0]
 
 
-def step_aic(df: DataFrame, y: str, terms: Sequence[str], parallelism: int = 4) -> tuple[LogitFit, list[tuple[str, float]]]:
-    """Stepwise selection in both directions by AIC, from the full model; only AIC reaches the driver.
+def step_aic(df: DataFrame, y: str, terms: Sequence[str]) -> tuple[LogitFit, list[tuple[str, float]]]:
+    """Stepwise selection in both directions by AIC, from the full model.
 
-    The candidates of one step are independent jobs and run side by side on the cluster. Every step lowers the criterion,
-    so the selection ends without a limit on its steps.
+    All candidates of a step are fitted together, a pass an iteration. Every step lowers the criterion, so the selection ends without
+    a limit on its steps. Rows with a NULL in any of ``terms`` take no part in any step.
     """
-    held = df.persist()
-    try:
-        with ThreadPool(parallelism) as pool:
-            current = logit(held, y, terms)
-            path = [("<start>", current.aic)]
-            while True:
-                moves = [("-" + t, [x for x in current.terms if x != t]) for t in current.terms if len(current.terms) > 1]
-                moves += [("+" + t, [x for x in terms if x in current.terms or x == t]) for t in terms if t not in current.terms]
-                fits = pool.map(inheritable_thread_target(df.sparkSession)(lambda move: logit(held, y, move[1])), moves)
-                scores = [fit.aic for fit in fits]
-                best = int(np.argmin(scores))
-                if scores[best] >= current.aic - 1e-9:
-                    break
-                current = fits[best]
-                path.append((moves[best][0], scores[best]))
-    finally:
-        held.unpersist()
-    return current, path
+    held = df.dropna(subset=[y, *terms])
+    current = logit(held, y, terms)
+    path = [("<start>", current.aic)]
+    while True:
+        moves = [("-" + t, [x for x in current.terms if x != t]) for t in current.terms if len(current.terms) > 1]
+        moves += [("+" + t, [x for x in terms if x in current.terms or x == t]) for t in terms if t not in current.terms]
+        if not moves:
+            return current, path
+        fits = fit_many(held, y, [own for _, own in moves])
+        best = int(np.argmin([fit.aic for fit in fits]))
+        if fits[best].aic >= current.aic - 1e-9:
+            return current, path
+        current = fits[best]
+        path.append((moves[best][0], current.aic))
 
 
 def backward_p(df: DataFrame, y: str, terms: Sequence[str], alpha: float = 0.05) -> tuple[LogitFit, list[tuple[str, float]]]:
     """Remove the least significant term until every p-value is at most ``alpha``."""
-    held = df.persist()
-    try:
-        current, removed = logit(held, y, terms), []
-        while len(current.terms) > 1:
-            values = {t: p for t, p in current.p_values.items() if t != "(Intercept)"}
-            worst = max(values, key=values.get)
-            if values[worst] <= alpha:
-                break
-            removed.append((worst, values[worst]))
-            current = logit(held, y, [t for t in current.terms if t != worst])
-    finally:
-        held.unpersist()
+    held = df.dropna(subset=[y, *terms])
+    current, removed = logit(held, y, terms), []
+    while len(current.terms) > 1:
+        values = {t: p for t, p in current.p_values.items() if t != "(Intercept)"}
+        worst = max(values, key=values.get)
+        if values[worst] <= alpha:
+            break
+        removed.append((worst, values[worst]))
+        current = logit(held, y, [t for t in current.terms if t != worst])
     return current, removed
 
 
 def vif(df: DataFrame, fit: LogitFit) -> DataFrame:
-    """Variance inflation per term from the coefficient covariance.
-
-    The weighted cross products of all terms are sums in one aggregate; a matrix the size of the
-    number of terms is inverted on the driver.
-    """
-    terms = fit.terms
-    x = [F.lit(1.0), *[F.get(F.col("_x"), F.lit(i)) for i in range(len(terms))]]
-    scored = _weighted(df, fit)
-    p = len(x)
-    sums = scored.agg(*[F.sum(F.col("_w") * x[i] * x[j]).alias(f"s{i}_{j}") for i in range(p) for j in range(i, p)]).first()
-    information = np.array([[sums[f"s{min(i, j)}_{max(i, j)}"] for j in range(p)] for i in range(p)])
-    covariance = np.linalg.inv(information)[1:, 1:]
+    """Variance inflation per term: the diagonal of the inverse of the coefficients' correlation, which the fit already has."""
+    covariance = fit.covariance[:-1, :-1]
     scale = np.sqrt(np.diag(covariance))
     inflation = np.diag(np.linalg.inv(covariance / np.outer(scale, scale)))
-    return df.sparkSession.createDataFrame([(t, float(v)) for t, v in zip(terms, inflation)], "term string, vif double")
-
-
-def _weighted(df: DataFrame, fit: LogitFit) -> DataFrame:
-    """Working weight and term values of every row."""
-    predicted = fit.model.transform(_sliced(df, fit.terms))
-    mu = F.col("prediction")
-    return predicted.select((mu * (1 - mu)).alias("_w"), vector_to_array("features").alias("_x"))
+    return df.sparkSession.createDataFrame([(t, float(v)) for t, v in zip(fit.terms, inflation)], "term string, vif double")
 
 
 # --- evaluation ----------------------------------------------------------------

@@ -4,20 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallygrain.operators.cuts import assign, cut_points, ranges_for
 
 _WORK = ["_key", "_slot", "_sub", "_before", "_total"]
 
 
+def _one_value(df: DataFrame, key: str) -> Column:
+    """Whether equal doubles of ``key`` mean equal values: not for large whole numbers and long decimals."""
+    kind = df.schema[key].dataType
+    if isinstance(kind, T.DecimalType):
+        return F.lit(kind.precision <= 15)
+    return F.abs("_key") <= 2.0**53 if isinstance(kind, T.LongType) else F.lit(True)
+
+
+def _order(key: str, descending: bool) -> Column:
+    return F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_last()
+
+
 def _slotted(df: DataFrame, key: str, tie: str | None, descending: bool, buckets: int) -> DataFrame:
     """Place rows in slots whose order agrees with (key, tie); more rows get more slots, up to the bound of ``ranges_for``.
 
     Cut points divide the key into ranges. A value that is itself a cut point, possibly a very
     frequent one, gets a slot of its own, and such single-valued slots are divided further by ranges
-    of the tie-breaking column. NULL keys come last.
+    of the tie-breaking column. Slots come from the key as a double; inside them rows are ordered by the key itself. NULL keys come last.
     """
     keyed = df.withColumn("_key", -F.col(key).cast("double") if descending else F.col(key).cast("double"))
     if tie is not None:
@@ -25,8 +38,8 @@ def _slotted(df: DataFrame, key: str, tie: str | None, descending: bool, buckets
     cuts = cut_points(keyed, ["_key", "_sub"] if tie is not None else ["_key"], buckets)
     placed = assign(keyed, cuts)
     on_cut = F.coalesce(F.col("_key").isin(cuts["_key"]), F.lit(False)) if cuts["_key"] else F.lit(False)
-    slot = F.when(F.col("_key").isNull(), 2 * buckets + 2).otherwise(2 * F.col("_key_range") + F.when(on_cut, 0).otherwise(1))
-    single = on_cut | F.col("_key").isNull()
+    slot = F.when(F.col("_key").isNull(), 2 * len(cuts["_key"]) + 2).otherwise(2 * F.col("_key_range") + F.when(on_cut, 0).otherwise(1))
+    single = (on_cut & _one_value(df, key)) | F.col("_key").isNull()
     sub = F.when(single, F.col("_sub_range")).otherwise(0) if tie is not None else F.lit(0)
     return placed.withColumns({"_slot": slot, "_sub": sub}).drop("_key_range", "_sub_range")
 
@@ -46,7 +59,7 @@ def global_row_number(df: DataFrame, score: str, tie: str, descending: bool = Fa
         (F.sum("_rows").over(upto) - F.col("_rows")).alias("_before"),
         F.sum("_rows").over(Window.partitionBy()).alias("_total"),
     )
-    inside = Window.partitionBy("_slot", "_sub").orderBy("_key", tie)
+    inside = Window.partitionBy("_slot", "_sub").orderBy(_order(score, descending), tie)
     return (
         placed.withColumn(out, F.row_number().over(inside))
         .join(F.broadcast(starts), ["_slot", "_sub"])
@@ -78,7 +91,7 @@ def running_totals(df: DataFrame, key: str, sums: Sequence[str], descending: boo
         *[(F.sum(f"_sum_{c}").over(upto) - F.col(f"_sum_{c}")).alias(f"_before_{c}") for c in sums],
         *[F.sum(f"_sum_{c}").over(Window.partitionBy()).alias(f"all_{c}") for c in sums],
     )
-    inside = Window.partitionBy("_slot").orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_slot").orderBy(_order(key, descending)).rowsBetween(Window.unboundedPreceding, 0)
     local = placed.withColumns({f"cum_{c}": F.sum(c).over(inside) for c in sums})
     joined = local.join(F.broadcast(starts), "_slot")
     return joined.withColumns({f"cum_{c}": F.col(f"_before_{c}") + F.col(f"cum_{c}") for c in sums}).drop(

@@ -1,9 +1,9 @@
-"""Neighbourhood recommendations on a long (user, item, rating) frame, never densified as a whole.
+"""Neighbourhood recommendations on a long (user, item, rating) frame, never densified.
 
-Similarities are products of matrix blocks. Rows and columns are hashed to blocks of a few hundred
-to a few thousand keys; Spark shuffles each rating to the block pairs that need it, and a task
-multiplies two small dense blocks. A user or item with very many ratings is one row or column of
-its blocks, so no task grows with it, and co-rated pairs leave a task already summed.
+Ratings meet at the key they share, and pairs are summed before they are shuffled. A key with very many
+ratings is dealt into a grid of cells by its degree (``grid_sums``), so that no task holds all its pairs; keys
+with few ratings, nearly all of them, are one cell and are not copied. ``pair_sums`` multiplies dense
+blocks instead, for tables of which most cells are filled.
 """
 
 from __future__ import annotations
@@ -127,6 +127,50 @@ def pair_sums(left: DataFrame, right: DataFrame, row: str, column: str, value: s
     return products.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ["dot", "aa", "bb", "n"]])
 
 
+#: Ratings of one key that a cell of the grid holds on each side, about; its pairs are at most the square.
+CELL = 512
+
+
+def grid(left: DataFrame, right: DataFrame, cell: int = CELL) -> tuple[DataFrame, DataFrame]:
+    """``left`` and ``right`` (``r``, ``c``, ``v``) with the cell (``c``, ``i``, ``j``) in which their rows meet.
+
+    A key ``c`` with n ratings on the left and m on the right has n / cell times m / cell cells. A rating is hashed to
+    a line of the grid and copied along it, once for each ``cell`` ratings on the other side: fewer copies than it has
+    partners, by the factor ``cell``. Rows whose key the other side lacks go.
+    """
+    def lines(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("c").agg(F.ceil(F.count("*") / cell).cast("int").alias(name))
+
+    shape = materialize(lines(left, "rows").join(lines(right, "columns"), "c"), "grid")
+
+    def placed(df: DataFrame, own: str, lines_own: str, along: str, lines_other: str, seed: int) -> DataFrame:
+        line = F.pmod(F.xxhash64(F.lit(seed), "r"), F.col(lines_own)).cast("int")
+        return df.join(shape, "c").select("c", "r", "v", line.alias(own), F.explode(F.sequence(F.lit(0), F.col(lines_other) - 1)).alias(along))
+
+    return placed(left, "i", "rows", "j", "columns", 1), placed(right, "j", "columns", "i", "rows", 2)
+
+
+def grid_sums(left: DataFrame, right: DataFrame, row: str, column: str, value: str, fold: Callable[[Column], Column] | None = None, cell: int = CELL, ordered: bool = False) -> DataFrame:
+    """(a, b, dot, aa, bb, n [, fold]) over common columns for pairs of a row of ``left`` and a row of ``right``.
+
+    With ``fold``, a function of the column key, sums are kept apart per fold; with ``ordered``, only pairs a < b are
+    made. NULL keys and values take no part. Pairs are summed where they are made and once more after their shuffle.
+    """
+    def cells(df: DataFrame) -> DataFrame:
+        base = df.select(F.col(row).cast("bigint").alias("r"), F.col(column).cast("bigint").alias("c"), F.col(value).cast("double").alias("v"))
+        return base.where("r is not null and c is not null and v is not null")
+
+    x, y = grid(cells(left), cells(right), cell)
+    x = x.select("c", "i", "j", F.col("r").alias("a"), F.col("v").alias("x"))
+    y = y.select("c", "i", "j", F.col("r").alias("b"), F.col("v").alias("y"))
+    met = x.join(y, ["c", "i", "j"]).where(F.col("a") < F.col("b") if ordered else F.col("a") != F.col("b"))
+    by = ["a", "b"]
+    if fold is not None:
+        met, by = met.withColumn("fold", fold(F.col("c")).cast("int")), ["a", "b", "fold"]
+    sums = {"dot": F.sum(F.col("x") * F.col("y")), "aa": F.sum(F.col("x") * F.col("x")), "bb": F.sum(F.col("y") * F.col("y")), "n": F.count("*")}
+    return met.groupBy(*by).agg(*[e.alias(c) for c, e in sums.items()])
+
+
 def cosine(sums: DataFrame, min_overlap: int = 2) -> DataFrame:
     """(a, b, sim, n) over co-rated columns, for pairs with enough of them."""
     value = F.try_divide(F.col("dot"), F.sqrt("aa") * F.sqrt("bb"))
@@ -137,7 +181,7 @@ def cosine(sums: DataFrame, min_overlap: int = 2) -> DataFrame:
 def similarity(ratings: DataFrame, axis: str, value: str = "rating", min_overlap: int = 2) -> DataFrame:
     """Cosine between all users or all items that share at least ``min_overlap`` ratings, a < b."""
     row, column = ("user", "item") if axis == "user" else ("item", "user")
-    return cosine(pair_sums(ratings, ratings, row, column, value).where(F.col("a") < F.col("b")), min_overlap)
+    return cosine(grid_sums(ratings, ratings, row, column, value, ordered=True), min_overlap)
 
 
 def nearest(sims: DataFrame, k: int, by: Sequence[str] = ("a",)) -> DataFrame:
@@ -165,7 +209,7 @@ def ubcf(given: DataFrame, train: DataFrame, nn: int = 50, min_overlap: int = 2,
     are used as they are.
     """
     given, train = _scored(given), _scored(train)
-    sims = cosine(pair_sums(given, train, "user", "item", "z"), min_overlap)
+    sims = cosine(grid_sums(given, train, "user", "item", "z"), min_overlap)
     if fold is not None:
         sims = sims.where(fold(F.col("a")) != fold(F.col("b")))
     near = nearest(sims, nn)
@@ -180,8 +224,10 @@ def ibcf(given: DataFrame, train: DataFrame, k: int = 30, min_overlap: int = 2,
     it is the sum over all folds minus the user's own, and all folds need one pass.
     """
     given, train = _scored(given), _scored(train)
-    sums = pair_sums(train, train, "item", "user", "z", fold)
+    half = materialize(grid_sums(train, train, "item", "user", "z", fold, ordered=True), "item-pairs")
     parts = ["dot", "aa", "bb", "n"]
+    turned = half.select(*[F.col({"a": "b", "b": "a", "aa": "bb", "bb": "aa"}.get(c, c)).alias(c) for c in half.columns])
+    sums = half.unionByName(turned)
     if fold is None:
         near = nearest(cosine(sums, min_overlap), k).withColumn("fold", F.lit(0))
         rated = given.withColumn("fold", F.lit(0))

@@ -84,8 +84,7 @@ def _(t):
     path = scratch_path(t.spark, "orders-by-year")
     dated = t.orders.select(*schema.names, F.year("o_orderdate").alias("period"))
     dated.write.partitionBy("period").option("header", True).csv(path)
-    years = [r.period for r in dated.select("period").distinct().collect()]
-    tagged = readers.read_periods(t.spark, {year: f"{path}/period={year}" for year in years}, schema, "period")
+    tagged = readers.read_partitioned(t.spark, path, schema, "period")
     return tagged.groupBy("period", "o_orderstatus").agg(F.count("*").alias("n"))
 
 

@@ -64,6 +64,12 @@ def read_periods(spark: SparkSession, paths: dict, schema: T.StructType, label:
     return reduce(DataFrame.unionByName, frames)
 
 
+def read_partitioned(spark: SparkSession, path: str, schema: T.StructType, label: str, kind: T.DataType | None = None) -> DataFrame:
+    """Files of one layout below ``<label>=<period>`` folders, in one scan; a filter on the period reads only its folders, and
+    rows of no period have NULL."""
+    return read_delimited(spark, path, T.StructType([*schema.fields, T.StructField(label, kind or T.IntegerType())]))
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Raw review pages stored as a table."""
     return spark.read.parquet(path)

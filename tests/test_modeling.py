@@ -92,3 +92,30 @@ def test_hours_and_split(spark):
     assert {r.e: r.mean_hours for r in m.worked_hours(df, F.col("h"), "e", plus_one=True).collect()} == {1: 5.0, 2: 4.75}
     split = m.hash_split(spark.range(5000), "id", 70)
     assert 0.67 < split.where("is_train").count() / 5000 < 0.73
+
+
+def test_fit_equals_the_library(data):
+    """Estimates, errors and deviances against Spark's own GLM."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GeneralizedLinearRegression
+
+    for terms in (["a", "b", "noise"], ["b"]):
+        vectors = VectorAssembler(inputCols=terms, outputCol="features").transform(data)
+        other = GeneralizedLinearRegression(family="binomial", link="logit", labelCol="y", maxIter=50, tol=1e-12).fit(vectors)
+        fit = m.logit(data, "y", terms)
+        assert list(fit.beta) == pytest.approx([*other.coefficients, other.intercept], abs=1e-7)
+        assert list(fit.std_errors) == pytest.approx(other.summary.coefficientStandardErrors, rel=1e-6)
+        assert [fit.aic, fit.deviance, fit.null_deviance] == pytest.approx([other.summary.aic, other.summary.deviance, other.summary.nullDeviance], rel=1e-9)
+        assert [fit.p_values[t] for t in terms] == pytest.approx(other.summary.pValues[:-1], abs=1e-8)
+
+
+def test_many_fits_take_one_pass_an_iteration(spark, data, monkeypatch):
+    passes = []
+    made = m._information
+    monkeypatch.setattr(m, "_information", lambda models: passes.append(len(models)) or made(models))
+    fits = m.fit_many(data, "y", [["a"], ["a", "b"], ["noise"], ["a", "b", "noise"]])
+    assert passes[0] == 4 and len(passes) < 12
+    assert [f.aic for f in fits] == pytest.approx([m.logit(data, "y", f.terms).aic for f in fits], rel=1e-12)
+    holes = data.withColumn("a", F.when(F.col("id") % 10 > 0, F.col("a")))
+    assert {f.rows for f in m.fit_many(holes, "y", [["a"], ["b"]])} == {540}
+    assert m.logit(data, "y", ["y"]).deviance < 1e-6  # told apart completely

@@ -112,3 +112,61 @@ def test_ranges_grow_with_rows_up_to_a_bound(spark, monkeypatch):
     assert cuts.ranges_for(df) == 500 and cuts.ranges_for(df, 900) == 900
     monkeypatch.setattr(cuts, "MOST_RANGES", 300)
     assert cuts.ranges_for(df) == 300
+
+
+def test_splitters_divide_a_skewed_column_evenly(spark, monkeypatch):
+    """Nearly all values lie in a band that a small sample meets, but does not resolve."""
+    rng = random.Random(11)
+    values = [rng.random() * 1e-6 if rng.random() < 0.98 else rng.random() * 1e6 for _ in range(40_000)] + [7.0] * 12_000
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(6)
+    asked = []
+    sampled = cuts._sampled
+    monkeypatch.setattr(cuts, "_sampled", lambda frame, rows, wanted: asked.append(wanted) or sampled(frame, rows, wanted))
+    points = cuts.cut_points(df, ["x"], 32, sample_per_range=4)
+    assert max(asked) == 128 and 7.0 in points["x"] and len(points["x"]) < 80
+    sizes = {r["x_range"]: r["n"] for r in cuts.assign(df.where("x != 7"), {"x": points["x"]}).groupBy("x_range").agg(F.count("*").alias("n")).collect()}
+    assert max(sizes.values()) < 4 * len(values) / 32
+
+
+def test_large_whole_numbers_keep_their_order(spark):
+    """Around 2 ** 60, 256 whole numbers share a double."""
+    rng = random.Random(12)
+    keys = rng.sample(range(2**60, 2**60 + 6000), 2500) + [2**53 + k for k in range(50)] + [-(2**60) - k for k in range(300)]
+    df = spark.createDataFrame([(k, k % 5) for k in keys], "k bigint, v int").repartition(5)
+    numbers = {r.k: r.row_number for r in ordering.global_row_number(df, "k", "k", buckets=16).collect()}
+    assert numbers == {k: i + 1 for i, k in enumerate(sorted(keys))}
+    falling = {r.k: r.row_number for r in ordering.global_row_number(df, "k", "v", True, buckets=16).collect()}
+    assert falling == {k: i + 1 for i, k in enumerate(sorted(keys, reverse=True))}
+    got = {r.k: r.cum_v for r in ordering.running_totals(df, "k", ["v"], buckets=8).collect()}
+    total = 0
+    for k in sorted(keys):
+        total += k % 5
+        assert got[k] == total
+    wide = df.select((F.col("k").cast("decimal(38,10)") + F.lit("0.0000000001").cast("decimal(38,10)")).alias("d"), "k")
+    assert {r.k: r.row_number for r in ordering.global_row_number(wide, "d", "k", buckets=16).collect()} == numbers
+
+
+def test_one_group_with_nearly_all_rows(spark):
+    """A group in a narrow band beside groups that span the column: its ranges come from its own sketch."""
+    rng = random.Random(13)
+    rows = [("big", 5 + rng.random() * 1e-3) for _ in range(30_000)] + [("big", 5.0005)] * 5_000 + [(f"g{i}", rng.random() * 1e6) for i in range(40)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(6)
+    probs = [0, 0.1, 0.5, 0.9, 1]
+    got = {(r.g, r.prob): r.value for r in quantiles.exact_quantiles(df, ["x"], probs, ["g"], group_rows=1000).collect()}
+    for g in ["big", "g0", "g39"]:
+        values = [x for name, x in rows if name == g]
+        assert [got[(g, float(p))] for p in probs] == pytest.approx(np.quantile(values, probs), rel=1e-12)
+    placed = quantiles._by_group(df.select("g", F.lit("x").alias("column_name"), F.col("x").alias("value")), ["g", "column_name"], 1000)
+    sizes = [r["n"] for r in placed.where("g = 'big' and value != 5.0005").groupBy("range").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) > 40 and max(sizes) < 3 * 35_000 / quantiles.GROUP_RANGES
+
+
+def test_periods_are_one_scan_and_pruned(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    df = spark.createDataFrame([(1, 2015), (2, 2016), (3, None)], "k int, period int")
+    df.write.partitionBy("period").option("header", True).csv(str(tmp_path / "p"))
+    back = readers.read_partitioned(spark, str(tmp_path / "p"), T.StructType.fromDDL("k int"), "period")
+    assert sorted((r.k, r.period) for r in back.collect()) == [(1, 2015), (2, 2016), (3, None)]
+    plan = back.where("period = 2016")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "PartitionFilters: [isnotnull(period" in plan

@@ -106,3 +106,30 @@ def test_top_n_counts(spark):
 def test_activity_counts_come_from_unfiltered_data(spark):
     f = frame(spark, {(1, 1): 3.0, (1, 2): 4.0, (2, 1): 5.0})
     assert [(r.user, r.item) for r in rec.min_activity(f, 2, 2).collect()] == [(1, 1)]
+
+
+@pytest.mark.parametrize("cell", [512, 7, 1])
+def test_grid_sums_in_any_cells(spark, cell):
+    ratings = table(seed=4)
+    f = frame(spark, ratings)
+    for axis, row, column in [("user", "user", "item"), ("item", "item", "user")]:
+        sums = rec.grid_sums(f, f, row, column, "rating", cell=cell, ordered=True)
+        got = {(r.a, r.b): r.sim for r in rec.cosine(sums).collect()}
+        keys = sorted({k[0 if axis == "user" else 1] for k in ratings})
+        expected = {(a, b): direct_cosine(ratings, a, b, axis) for a, b in itertools.combinations(keys, 2)}
+        assert got == pytest.approx({k: v for k, v in expected.items() if v is not None}, abs=1e-8)
+
+
+@pytest.mark.parametrize("hot", ["user", "item"])
+def test_a_hot_key_is_dealt_into_cells(spark, hot):
+    """One key with 3,000 ratings beside 500 keys with three each: cells stay small, and cold keys are not copied."""
+    many = [(0, i, 1.0 + i % 5) for i in range(3000)] + [(k, 3000 + 3 * k + i, 2.0) for k in range(1, 501) for i in range(3)]
+    f = spark.createDataFrame([(c, r, v) for c, r, v in many], "c bigint, r bigint, v double")
+    x, y = rec.grid(f, f, cell=100)
+    for side in (x, y):
+        sizes = [r["count"] for r in side.groupBy("c", "i", "j").count().collect()]
+        assert max(sizes) < 170 and side.count() == 3000 * 30 + 1500
+    ratings = f.select(F.col("c").alias(hot), F.col("r").alias("item" if hot == "user" else "user"), F.col("v").alias("rating"))
+    axis = "user" if hot == "item" else "item"
+    pairs = rec.grid_sums(ratings, ratings, axis, hot, "rating", cell=100, ordered=True)
+    assert pairs.count() == 3000 * 2999 // 2 + 500 * 3
