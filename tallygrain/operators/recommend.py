@@ -2,8 +2,9 @@
 
 Ratings meet at the key they share, and pairs are summed before they are shuffled. A key with very many
 ratings is dealt into a grid of cells by its degree (``grid_sums``), so that no task holds all its pairs; keys
-with few ratings, nearly all of them, are one cell and are not copied. ``pair_sums`` multiplies dense
-blocks instead, for tables of which most cells are filled.
+with few ratings, nearly all of them, are one cell and are not copied. Tables that fill their blocks are
+multiplied as dense blocks instead (``pair_sums``), which takes a copy of a rating for each block of the other side; ``co_rated``
+chooses by the number of pairs that a block would hold.
 """
 
 from __future__ import annotations
@@ -161,16 +162,36 @@ def grid_sums(left: DataFrame, right: DataFrame, row: str, column: str, value: s
         return base.where("r is not null and c is not null and v is not null")
 
     x, y = grid(cells(left), cells(right), cell)
-    x = x.select("c", "i", "j", F.col("r").alias("a"), F.col("v").alias("x"))
+    label = [] if fold is None else [fold(F.col("c")).cast("int").alias("fold")]  # once a rating, not once a pair
+    x = x.select("c", "i", "j", F.col("r").alias("a"), F.col("v").alias("x"), *label)
     y = y.select("c", "i", "j", F.col("r").alias("b"), F.col("v").alias("y"))
     met = x.join(y, ["c", "i", "j"]).where(F.col("a") < F.col("b") if ordered else F.col("a") != F.col("b"))
-    by = ["a", "b"]
-    if fold is not None:
-        met, by = met.withColumn("fold", fold(F.col("c")).cast("int")), ["a", "b", "fold"]
+    by = ["a", "b", *(["fold"] if fold is not None else [])]
     sums = {"dot": F.sum(F.col("x") * F.col("y")), "aa": F.sum(F.col("x") * F.col("x")), "bb": F.sum(F.col("y") * F.col("y")), "n": F.count("*")}
     return met.groupBy(*by).agg(*[e.alias(c) for c, e in sums.items()])
 
 
+#: Pairs from which on a block is multiplied as a matrix.
+FULL_BLOCK = 10_000
+
+
+def co_rated(left: DataFrame, right: DataFrame, row: str, column: str, value: str, fold: Callable[[Column], Column] | None = None, ordered: bool = False,
+             block_rows: int = 1024, block_columns: int = 4096, full_block: int = FULL_BLOCK) -> DataFrame:
+    """The sums of ``grid_sums``, by dense blocks where these hold ``full_block`` pairs on average; the result does not depend on that."""
+    def degrees(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(F.col(column).alias("c")).agg(F.count("*").alias(name))
+
+    def blocks(df: DataFrame) -> int:
+        return -(-df.agg(F.approx_count_distinct(row)).first()[0] // block_rows)
+
+    met = degrees(left, "l").join(degrees(right, "r"), "c").agg(F.sum(F.col("l").cast("double") * F.col("r")).alias("pairs"), F.count("*").alias("c")).first()
+    tiles = blocks(left) * blocks(right) * -(-met["c"] // block_columns)
+    if (met["pairs"] or 0.0) < full_block * tiles:
+        return grid_sums(left, right, row, column, value, fold, ordered=ordered)
+    sums = pair_sums(left, right, row, column, value, fold, block_rows, block_columns)
+    return sums.where(F.col("a") < F.col("b")) if ordered else sums
+
+
 def cosine(sums: DataFrame, min_overlap: int = 2) -> DataFrame:
     """(a, b, sim, n) over co-rated columns, for pairs with enough of them."""
     value = F.try_divide(F.col("dot"), F.sqrt("aa") * F.sqrt("bb"))
@@ -181,7 +202,7 @@ def cosine(sums: DataFrame, min_overlap: int = 2) -> DataFrame:
 def similarity(ratings: DataFrame, axis: str, value: str = "rating", min_overlap: int = 2) -> DataFrame:
     """Cosine between all users or all items that share at least ``min_overlap`` ratings, a < b."""
     row, column = ("user", "item") if axis == "user" else ("item", "user")
-    return cosine(grid_sums(ratings, ratings, row, column, value, ordered=True), min_overlap)
+    return cosine(co_rated(ratings, ratings, row, column, value, ordered=True), min_overlap)
 
 
 def nearest(sims: DataFrame, k: int, by: Sequence[str] = ("a",)) -> DataFrame:
@@ -209,7 +230,7 @@ def ubcf(given: DataFrame, train: DataFrame, nn: int = 50, min_overlap: int = 2,
     are used as they are.
     """
     given, train = _scored(given), _scored(train)
-    sims = cosine(grid_sums(given, train, "user", "item", "z"), min_overlap)
+    sims = cosine(co_rated(given, train, "user", "item", "z"), min_overlap)
     if fold is not None:
         sims = sims.where(fold(F.col("a")) != fold(F.col("b")))
     near = nearest(sims, nn)
@@ -224,7 +245,7 @@ def ibcf(given: DataFrame, train: DataFrame, k: int = 30, min_overlap: int = 2,
     it is the sum over all folds minus the user's own, and all folds need one pass.
     """
     given, train = _scored(given), _scored(train)
-    half = materialize(grid_sums(train, train, "item", "user", "z", fold, ordered=True), "item-pairs")
+    half = materialize(co_rated(train, train, "item", "user", "z", fold, ordered=True), "item-pairs")
     parts = ["dot", "aa", "bb", "n"]
     turned = half.select(*[F.col({"a": "b", "b": "a", "aa": "bb", "bb": "aa"}.get(c, c)).alias(c) for c in half.columns])
     sums = half.unionByName(turned)

@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrain.functions.scalars import label_lookup
@@ -150,31 +148,70 @@ def word_frequency(df: DataFrame, columns: Sequence[str], n: int = 5000, stop: S
 # --- topics --------------------------------------------------------------------
 
 
-def topic_model(df: DataFrame, key: str, text: str, k: int = 5, seed: int = 42, min_df: int = 2, max_df: float = 0.8, max_iter: int = 20):
-    """Fit a topic model on term counts of all documents and all terms: (vocabulary, model, counted documents)."""
-    counted = materialize(df.select(key, tokens(F.col(text)).alias("words")), "words")
-    terms = counted.select(F.explode("words").alias("term")).distinct().count()
-    vectorizer = CountVectorizer(inputCol="words", outputCol="features", minDF=float(min_df), maxDF=max_df, vocabSize=max(1, terms)).fit(counted)
-    features = materialize(vectorizer.transform(counted).select(key, "features"), "features")
-    return vectorizer.vocabulary, LDA(k=k, seed=seed, maxIter=max_iter, subsamplingRate=1.0).fit(features), features
+@dataclass
+class TopicModel:
+    """Topics as tables: ``terms`` (term, one column ``w0``, ``w1``, ... per topic), ``documents`` (key, ``d0``, ...), and the weight of each topic."""
+
+    k: int
+    key: str
+    terms: DataFrame
+    documents: DataFrame
+    totals: list[float]
+
+
+#: Added to counts of topics in documents and of terms in topics, less one, as usual for this way of fitting.
+DOCUMENT_PRIOR, TERM_PRIOR = 1.1, 1.1
 
 
-def topic_weights(model, features: DataFrame, key: str) -> DataFrame:
+def topic_model(df: DataFrame, key: str, text: str, k: int = 5, seed: int = 42, min_df: int = 2, max_df: float = 0.8, max_iter: int = 20):
+    """Fit a topic model on term counts of all documents and all terms: (vocabulary, model, documents).
+
+    Expectation maximization over the pairs of a document and a term: a pair's count is spread over the topics in proportion to those of its
+    document and its term, and both are sums over their pairs again. All state is in tables keyed by document and by term; the driver sees one
+    number a topic. The start is a hash of the pair, so that a fit repeats.
+    """
+    documents = materialize(df.select(key).distinct(), "documents")
+    counts = materialize(doc_term(df, key, text, min_df, max_df), "pairs")
+    vocabulary = materialize(counts.groupBy("term").agg(F.first("df").alias("df")), "vocabulary")
+    size = vocabulary.count()
+    topics = range(k)
+    start = [F.pmod(F.xxhash64(F.col(key).cast("string"), "term", F.lit(seed + j)), F.lit(1000)) + 1 for j in topics]
+    spread = counts.select(key, "term", "tf", F.array(*start).alias("p"))
+    for _ in range(max_iter + 1):  # one job each: both sums are taken where the next spread needs them
+        whole = F.aggregate("p", F.lit(0.0), lambda s, x: s + x)
+        shared = materialize(spread.withColumn("whole", whole).select(key, "term", "tf", *[(F.col("tf") * F.col("p")[j] / F.col("whole")).alias(f"g{j}") for j in topics]), "spread")
+        of_document = shared.groupBy(key).agg(*[F.sum(f"g{j}").alias(f"d{j}") for j in topics])
+        of_term = shared.groupBy("term").agg(*[F.sum(f"g{j}").alias(f"w{j}") for j in topics])
+        total = shared.agg(F.array(*[F.sum(f"g{j}") for j in topics]).alias("n"))
+        held = shared.select(key, "term", "tf").join(of_document, key).join(of_term, "term").withColumn("n", total.scalar())
+        chance = [(F.col(f"w{j}") + (TERM_PRIOR - 1)) * (F.col(f"d{j}") + (DOCUMENT_PRIOR - 1)) / (F.col("n")[j] + size * (TERM_PRIOR - 1)) for j in topics]
+        spread = held.select(key, "term", "tf", F.array(*chance).alias("p"))
+    of_document, of_term = materialize(of_document, "document-topics"), materialize(of_term, "term-topics")
+    totals = [float(x or 0.0) for x in total.first()["n"]]
+    return vocabulary, TopicModel(k, key, of_term, of_document, totals), documents
+
+
+def _distribution(model: TopicModel, documents: DataFrame) -> DataFrame:
+    """(key, w): shares of topics per document; equal ones without a term of the vocabulary."""
+    counts = [F.coalesce(f"d{j}", F.lit(0.0)) + (DOCUMENT_PRIOR - 1) for j in range(model.k)]
+    held = documents.join(model.documents, model.key, "left").select(model.key, F.array(*counts).alias("n"))
+    return held.select(model.key, F.transform("n", lambda x: x / F.aggregate("n", F.lit(0.0), lambda s, y: s + y)).alias("w"))
+
+
+def topic_weights(model: TopicModel, documents: DataFrame, key: str) -> DataFrame:
     """(key, topic, weight) for every document and topic."""
-    spread = model.transform(features).select(key, vector_to_array("topicDistribution").alias("w"))
-    return spread.select(key, F.posexplode("w").alias("topic", "weight"))
+    return _distribution(model, documents).select(key, F.posexplode("w").alias("topic", "weight"))
 
 
-def topic_words(model, vocabulary: Sequence[str], n: int = 10) -> DataFrame:
-    """(topic, rank, term, weight), the n heaviest words of each topic."""
-    described = model.describeTopics(n).select("topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "t"))
-    rows = described.select("topic", (F.col("rank") + 1).alias("rank"), F.col("t.termIndices").alias("i"), F.col("t.termWeights").alias("weight"))
-    used = sorted({r["i"] for r in rows.select("i").distinct().collect()})  # at most k times n indices
-    lookup = rows.sparkSession.createDataFrame([(i, vocabulary[i]) for i in used], "i int, term string")
-    return rows.join(lookup, "i").select("topic", "rank", "term", "weight")
+def topic_words(model: TopicModel, vocabulary: DataFrame, n: int = 10) -> DataFrame:
+    """(topic, rank, term, weight), the n heaviest words of each topic; ties in the order of terms."""
+    size = vocabulary.count()
+    cells = [F.struct(F.lit(j).alias("topic"), ((F.col(f"w{j}") + (TERM_PRIOR - 1)) / F.lit(model.totals[j] + size * (TERM_PRIOR - 1))).alias("weight")) for j in range(model.k)]
+    rows = top_k(model.terms.select("term", F.inline(F.array(*cells))), ["topic"], "weight", n, "none", ["term"])
+    order = Window.partitionBy("topic").orderBy(F.desc("weight"), "term")  # n rows a topic
+    return rows.withColumn("rank", F.row_number().over(order)).select("topic", "rank", "term", "weight")
 
 
-def assign_topic(model, features: DataFrame, key: str) -> DataFrame:
+def assign_topic(model: TopicModel, documents: DataFrame, key: str) -> DataFrame:
     """The heaviest topic of each document, the first on ties."""
-    spread = model.transform(features).select(key, vector_to_array("topicDistribution").alias("w"))
-    return spread.select(key, (F.array_position("w", F.array_max("w")) - 1).cast("int").alias("topic"))
+    return _distribution(model, documents).select(key, (F.array_position("w", F.array_max("w")) - 1).cast("int").alias("topic"))

@@ -134,23 +134,34 @@ def _(t):
     return tx.vocabulary_sample(tx.doc_term(t.reviews, "doc_id", "review"))
 
 
+_FITS: dict[tuple, tuple] = {}
+
+
+def fitted(t):
+    """The topics of all reviews, fitted once in a session and folder; the three queries read the same tables."""
+    name = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if name not in _FITS:
+        _FITS[name] = tx.topic_model(t.reviews, "doc_id", "review")
+    return _FITS[name]
+
+
 @query("txt_lda")
 def _(t):
     """Topic weights of every document."""
-    _, model, features = tx.topic_model(t.reviews, "doc_id", "review")
-    return tx.topic_weights(model, features, "doc_id")
+    _, model, documents = fitted(t)
+    return tx.topic_weights(model, documents, "doc_id")
 
 
 @query("txt_topic_words")
 def _(t):
-    vocabulary, model, _ = tx.topic_model(t.reviews, "doc_id", "review")
+    vocabulary, model, _ = fitted(t)
     return tx.topic_words(model, vocabulary)
 
 
 @query("txt_assign_topic")
 def _(t):
-    _, model, features = tx.topic_model(t.reviews, "doc_id", "review")
-    return tx.assign_topic(model, features, "doc_id")
+    _, model, documents = fitted(t)
+    return tx.assign_topic(model, documents, "doc_id")
 
 
 @query("txt_word_frequency", " UNION ALL ".join(

@@ -133,3 +133,11 @@ def test_a_hot_key_is_dealt_into_cells(spark, hot):
     axis = "user" if hot == "item" else "item"
     pairs = rec.grid_sums(ratings, ratings, axis, hot, "rating", cell=100, ordered=True)
     assert pairs.count() == 3000 * 2999 // 2 + 500 * 3
+
+
+def test_dense_blocks_and_grid_agree(spark):
+    ratings = frame(spark, table(seed=8))
+    fold = rec.k_fold(3)
+    for args in (("user", "item", "rating"), ("item", "user", "rating", fold)):
+        dense, sparse = ({tuple(r)[:2] + (r["fold"] if "fold" in r else 0,): (r.dot, r.aa, r.bb, r.n) for r in rec.co_rated(ratings, ratings, *args, ordered=True, full_block=full).collect()} for full in (1, 10**9))
+        assert dense.keys() == sparse.keys() and all(dense[k] == pytest.approx(sparse[k]) for k in dense)

@@ -63,3 +63,30 @@ def test_topics(spark):
     assert len({topics[i] for i in range(0, 40, 2)}) == 1 and len({topics[i] for i in range(1, 40, 2)}) == 1
     words = tx.topic_words(model, vocabulary, 4).collect()
     assert len(words) == 8 and {r["rank"] for r in words} == {1, 2, 3, 4}
+
+
+def test_a_topic_step_is_expectation_maximization(spark):
+    """Two iterations against the same computation in numpy, and a document without a kept term."""
+    import numpy as np
+
+    docs = [(i, " ".join(["apple", "pear", "plum", "wheel", "road", "motor"][(i * 5 + j) % 6] for j in range(4))) for i in range(12)] + [(99, "unique")]
+    df = spark.createDataFrame(docs, "id int, t string")
+    counts = tx.doc_term(df, "id", "t", stop=[])
+    starts = {}
+    for iterations in (0, 2):
+        vocabulary, model, documents = tx.topic_model(df, "id", "t", k=3, max_iter=iterations)
+        d = {r[0]: np.array(r[1:]) for r in model.documents.collect()}
+        w = {r[0]: np.array(r[1:]) for r in model.terms.collect()}
+        starts[iterations] = d, w
+    pairs = [(r.id, r.term, r.tf) for r in counts.collect()]
+    d, w = starts[0]
+    for _ in range(2):
+        totals = sum(w.values())
+        p = {(i, t): (w[t] + 0.1) * (d[i] + 0.1) / (totals + 0.1 * len(w)) for i, t, _ in pairs}
+        g = {(i, t): tf * p[i, t] / p[i, t].sum() for i, t, tf in pairs}
+        d, w = ({x: sum(v for k, v in g.items() if k[at] == x) for x in old} for at, old in ((0, d), (1, w)))
+    assert all(starts[2][0][i] == pytest.approx(d[i], abs=1e-9) for i in d) and all(starts[2][1][t] == pytest.approx(w[t], abs=1e-9) for t in w)
+    alone = [r.weight for r in tx.topic_weights(model, documents, "id").where("id = 99").collect()]
+    assert alone == pytest.approx([1 / 3] * 3)
+    words = tx.topic_words(model, vocabulary, 2).collect()
+    assert {r.term for r in words} <= set(w) and all(0 < r.weight < 1 for r in words)
