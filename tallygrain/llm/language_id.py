@@ -8,16 +8,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tallygrain.llm.common import require, ship_by_value, table
 from tallygrain.session import materialize
 
 ship_by_value(__name__)
 
-#: Features of the model: the most frequent n-grams of a language, each seen MIN_COUNT times at least.
-MAX_GRAMS = 200_000
+#: Features of the model: n-grams of a language that were seen MIN_COUNT times and make up MIN_SHARE of its n-grams at least, so that
+#: there are 1 / MIN_SHARE of them at most, whatever the corpus.
 MIN_COUNT = 2
+MIN_SHARE = 1e-6
 #: A language contains an n-gram if its relative frequency there is this share of the highest one at least.
 RATIO = 0.2
 #: Slots a kept n-gram, and places an n-gram takes.
@@ -109,8 +109,8 @@ class Model:
         return np.clip((raw - self.false_rate) / np.maximum(1 - self.false_rate, 1e-9), 0, 1), total
 
 
-def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", max_grams: int = MAX_GRAMS) -> Model:
-    """Model from all given rows with a language and a text. The model is bounded by ``max_grams`` features a language; counts cover all rows."""
+def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", min_share: float = MIN_SHARE) -> Model:
+    """Model from all given rows with a language and a text; counts cover all rows. The model is bounded by ``1 / min_share`` features a language."""
     require(rows, lang_col, text_col)
     labelled = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     counts = materialize(labelled.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
@@ -120,11 +120,10 @@ def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", max_gra
         return Model([], 6, np.zeros((64, 1), np.uint64))
     number = F.create_map(*[F.lit(x) for i, lang in enumerate(langs) for x in (lang, i)])
     total = F.create_map(*[F.lit(x) for lang in langs for x in (lang, float(totals[lang]))])
-    shares = counts.where(F.col("n") >= MIN_COUNT).select("gram", "n", number[F.col("lang")].alias("i"), (F.col("n") / total[F.col("lang")]).alias("p"))
+    shares = counts.where(F.col("n") >= MIN_COUNT).select("gram", number[F.col("lang")].alias("i"), (F.col("n") / total[F.col("lang")]).alias("p"))
     top = shares.groupBy("gram").agg(F.max("p").alias("most")).select(F.col("gram").alias("g"), "most")
-    held = shares.join(top, F.col("gram") == F.col("g")).where(F.col("p") >= RATIO * F.col("most"))
-    order = Window.partitionBy("i").orderBy(F.col("n").desc(), "gram")
-    kept = materialize(held.withColumn("r", F.row_number().over(order)).where(F.col("r") <= max_grams).select("gram", "i"), "features")
+    held = shares.join(top, F.col("gram") == F.col("g")).where((F.col("p") >= RATIO * F.col("most")) & (F.col("p") >= min_share))
+    kept = materialize(held.select("gram", "i"), "features")
     n = max(1, kept.count())
     bits = max(6, int(np.ceil(np.log2(SLOTS_PER_GRAM * n / max(1, len(langs)))) + 1))
 
@@ -170,7 +169,7 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``id_col``, ``held_out``, ``lang_pred``, ``score`` per row, learned from the rows outside the held-out fold.
 
-    Repeated rows are judged alike; NULL languages are not learned from; an empty table gives an empty result. Other columns are ignored.
+    Repeated rows are judged alike; NULL languages are not learned from; an empty table gives an empty result. Texts of any length are read whole. Other columns are ignored, whatever their names.
     """
     model = fit(docs.where(~held_out(F.col(id_col))), lang_col, text_col)
     rows = docs.select(F.col(id_col), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import bisect
 import functools
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -27,6 +28,9 @@ GROUPS = 32
 #: Pieces of one length that a task numbers at once, about.
 BUCKET_ROWS = 20_000
 
+#: Runs of white space from this length on.
+LONG_RUN = 10_000
+
 _PIECE = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -38,7 +42,7 @@ def encoder(path: str):
     """Function from a text to its ids under the byte-level BPE in ``path`` (a ``tokenizers`` file), without special tokens added.
 
     The merges run in tiktoken, which gives the same ids several times faster; texts that hold the name of an added token go through
-    tokenizers itself.
+    tokenizers itself, and so do texts with very long runs of white space, which tiktoken's splitter cannot take.
     """
     import tiktoken
     from tokenizers import Tokenizer
@@ -52,11 +56,12 @@ def encoder(path: str):
     ranks = {bytes(back[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in added}
     # Fixed value: the split of byte-level BPE before its merges.
     pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+    long_run = re.compile(rf"\s{{{LONG_RUN}}}")
     fast = tiktoken.Encoding("byte_level", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
     slow = Tokenizer.from_file(path)
 
     def ids(text: str) -> list[int]:
-        if any(a in text for a in added):
+        if any(a in text for a in added) or (len(text) >= LONG_RUN and long_run.search(text)):
             return slow.encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 
@@ -234,7 +239,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = SEQUENCE, id_col: str = "d
     """``id_col``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id`` and ``offset`` per piece.
 
     A document's tokens are its ids and one ``END_ID``; NULL and empty texts are that one token. Only documents of more than ``size`` tokens
-    are cut. Repeated rows are packed as often as they are there, ties of length in the order of ids; an empty table gives an empty result; other
+    are cut; texts of any length are read whole. Repeated rows are packed as often as they are there, ties of length in the order of ids; an empty table gives an empty result; other
     columns are ignored.
 
     The driver sees one count per length (``size`` of them at most) and plans where numbers of pieces go. Pieces are numbered per length
