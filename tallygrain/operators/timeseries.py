@@ -307,6 +307,11 @@ def adf(df: DataFrame, keys: Keys, e: str, lags: int | None = None) -> DataFrame
 # --- order search --------------------------------------------------------------
 
 
+#: Length of the autoregression that stands in for the innovations, and rows that an order needs beside two a coefficient.
+LONG_AR = 8
+MIN_ROWS = 8
+
+
 def default_orders(p: int = 2, d: int = 1, q: int = 2, seasonal: int = 1) -> list[tuple[int, int, int, int]]:
     """All (p, d, q, D) up to the given limits."""
     return [(i, j, k, s) for i in range(p + 1) for j in range(d + 1) for k in range(q + 1) for s in range(seasonal + 1)]
@@ -322,8 +327,14 @@ def _lagged(x: np.ndarray, k: int) -> np.ndarray:
     return np.column_stack([x[k - j : len(x) - j] for j in range(1, k + 1)]) if k else np.empty((len(x), 0))
 
 
+def _first_row(order: tuple[int, int, int, int], period: int) -> int:
+    """Periods before the first one that the second stage can explain."""
+    p, d, q, seasonal = order
+    return d + period * seasonal + max(p, q + max(p + q, LONG_AR) if q else 0)
+
+
 def _two_stage(y: np.ndarray, order: tuple[int, int, int, int], period: int, skip: int):
-    """Fit by a long autoregression for the innovations, then a regression on lags of both."""
+    """Fit by a long autoregression for the innovations, then a regression on lags of both, from period ``skip`` on."""
     p, d, q, seasonal = order
     w = _difference(y, d, seasonal, period)
     first = len(y) - len(w)
@@ -331,11 +342,11 @@ def _two_stage(y: np.ndarray, order: tuple[int, int, int, int], period: int, ski
     z = w - centre
     shocks = np.zeros(len(z))
     if q:
-        m = max(p + q, min(8, len(z) // 4))
+        m = max(p + q, LONG_AR)
         x = _lagged(z, m)
         ar, *_ = np.linalg.lstsq(x, z[m:], rcond=None)
         shocks[m:] = z[m:] - x @ ar
-    start = max(p, q, skip - first)
+    start = max(_first_row(order, period), skip) - first
     rows = np.arange(start, len(z))
     x = np.column_stack([z[rows - j] for j in range(1, p + 1)] + [shocks[rows - j] for j in range(1, q + 1)]) if p + q else np.empty((len(rows), 0))
     coef = np.linalg.lstsq(x, z[rows], rcond=None)[0] if p + q else np.empty(0)
@@ -344,12 +355,12 @@ def _two_stage(y: np.ndarray, order: tuple[int, int, int, int], period: int, ski
     n, k = len(rows), p + q + 1 + (1 if d + seasonal == 0 else 0)
     sigma2 = max(float(resid @ resid) / n, 1e-12)
     aicc = n * math.log(sigma2) + 2 * k + 2 * k * (k + 1) / max(n - k - 1, 1)
-    return w, centre, coef, shocks, aicc, sigma2
+    return w, centre, coef, shocks, aicc, first + start
 
 
-def _extend(y: np.ndarray, order: tuple[int, int, int, int], period: int, skip: int, h: int) -> np.ndarray:
+def _extend(y: np.ndarray, order: tuple[int, int, int, int], period: int, h: int) -> np.ndarray:
     p, d, q, seasonal = order
-    w, centre, coef, shocks, _, _ = _two_stage(y, order, period, skip)
+    w, centre, coef, shocks, _, _ = _two_stage(y, order, period, 0)
     z, e = list(w - centre), list(shocks)
     for _ in range(h):
         z.append(sum(coef[j] * z[-1 - j] for j in range(p)) + sum(coef[p + j] * e[-1 - j] for j in range(q)))
@@ -366,42 +377,72 @@ def _extend(y: np.ndarray, order: tuple[int, int, int, int], period: int, skip:
     return ahead
 
 
-def arima_search(df: DataFrame, keys: Keys, y: str, orders: Sequence[tuple] | None = None, h: int = 6, period: int = 12) -> DataFrame:
-    """Choose an order per segment and forecast h periods: (keys..., p, d, q, seasonal, aicc, t, forecast).
+_ORDER = ["p", "d", "q", "seasonal"]
+
 
-    Every (segment, order) pair is a group of its own, so the search spreads over the cluster. All
-    orders of a segment are judged on the same rows, which makes criteria comparable across
-    differencing. The winner is refitted on the whole series.
+def _types(frame: DataFrame, keys: Sequence[str]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields if f.name in keys)
+
+
+def choose_order(df: DataFrame, keys: Keys, y: str, orders: Sequence[tuple] | None = None, period: int = 12) -> DataFrame:
+    """The order with the least corrected AIC per segment: (keys..., p, d, q, seasonal, aicc); ties to the smaller order.
+
+    Every (segment, order) pair is a group of its own, so the search spreads over the cluster. All orders of a segment are judged on the
+    same rows, those that the deepest order can explain, which makes criteria comparable across differencing. The rules are
+    the same for every length: a segment with fewer than MIN_ROWS rows and two a coefficient for an order does not get it; one without any
+    admissible order gets the smallest, and a NULL criterion.
     """
     keys, orders = list(keys), list(orders or default_orders())
     frame = df.select(*keys, F.col("t").cast("int").alias("t"), F.col(y).cast("double").alias("_y"))
-    grid = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(["p", "d", "q", "seasonal"], order)]) for order in orders])
-    cells = frame.withColumn("o", F.explode(grid)).select(*keys, "t", "_y", "o.p", "o.d", "o.q", "o.seasonal")
-    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema.fields if f.name in keys)
-    deepest = max(o[0] + o[1] + period * o[3] for o in orders)
-    names = ["p", "d", "q", "seasonal"]
-
-    def skip_for(n: int) -> int:
-        return min(deepest, n // 2)
+    grid = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(_ORDER, order)]) for order in orders])
+    cells = frame.withColumn("o", F.explode(grid)).select(*keys, "t", "_y", *[f"o.{n}" for n in _ORDER])
+    deepest = max(_first_row(o, period) for o in orders)
 
     def judge(group: pd.DataFrame) -> pd.DataFrame:
         values = group.sort_values("t")["_y"].to_numpy()
-        order = tuple(int(group[c].iloc[0]) for c in names)
-        fits = len(values) - order[1] - period * order[3] > 2 * (order[0] + order[2]) + 8
-        aicc = _two_stage(values, order, period, skip_for(len(values)))[4] if fits else math.inf
-        return pd.DataFrame([[*(group[k].iloc[0] for k in keys), *order, aicc]], columns=[*keys, *names, "aicc"])
+        order = tuple(int(group[c].iloc[0]) for c in _ORDER)
+        fits = len(values) - deepest >= 2 * (order[0] + order[2]) + MIN_ROWS
+        aicc = _two_stage(values, order, period, deepest)[4] if fits else math.inf
+        return pd.DataFrame([[*(group[k].iloc[0] for k in keys), *order, aicc]], columns=[*keys, *_ORDER, "aicc"])
 
-    judged = cells.groupBy(*keys, *names).applyInPandas(judge, f"{types}, p int, d int, q int, seasonal int, aicc double")
-    best = judged.groupBy(*keys).agg(F.min(F.struct("aicc", *names)).alias("b")).select(*keys, "b.*")
+    judged = cells.groupBy(*keys, *_ORDER).applyInPandas(judge, f"{_types(frame, keys)}, p int, d int, q int, seasonal int, aicc double")
+    best = judged.groupBy(*keys).agg(F.min(F.struct("aicc", *_ORDER)).alias("b")).select(*keys, *[f"b.{n}" for n in _ORDER], "b.aicc")
+    return best.withColumn("aicc", F.when(F.col("aicc") < math.inf, F.col("aicc")))
+
+
+def _by_order(df: DataFrame, best: DataFrame, keys: list[str], y: str, one, names: str) -> DataFrame:
+    """``one(values, t, order)`` gives the columns of ``names`` per segment, for the order chosen; the keys and the order stay."""
+    frame = df.select(*keys, F.col("t").cast("int").alias("t"), F.col(y).cast("double").alias("_y"))
 
-    def project(group: pd.DataFrame) -> pd.DataFrame:
+    def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("t")
-        order = tuple(int(group[c].iloc[0]) for c in names)
-        ahead = _extend(group["_y"].to_numpy(), order, period, skip_for(len(group)), h)
-        out = pd.DataFrame({"t": int(group["t"].max()) + np.arange(1, h + 1), "forecast": ahead})
-        for column in [*keys, *names, "aicc"]:
-            out[column] = group[column].iloc[0]
-        return out[[*keys, *names, "aicc", "t", "forecast"]]
-
-    schema = f"{types}, p int, d int, q int, seasonal int, aicc double, t int, forecast double"
-    return frame.join(best, keys).groupBy(*keys).applyInPandas(project, schema)
+        out = one(group["_y"].to_numpy(), group["t"].to_numpy(), tuple(int(group[c].iloc[0]) for c in _ORDER))
+        return out.assign(**{c: group[c].iloc[0] for c in [*keys, *_ORDER, "aicc"]})[[*keys, *_ORDER, "aicc", *out.columns]]
+
+    return frame.join(best, keys).groupBy(*keys).applyInPandas(run, f"{_types(frame, keys)}, p int, d int, q int, seasonal int, aicc double, {names}")
+
+
+def arima_search(df: DataFrame, keys: Keys, y: str, orders: Sequence[tuple] | None = None, h: int = 6, period: int = 12) -> DataFrame:
+    """Choose an order per segment and forecast h periods: (keys..., p, d, q, seasonal, aicc, t, forecast).
+
+    The winner is refitted on the whole series before it forecasts.
+    """
+
+    def ahead(values: np.ndarray, t: np.ndarray, order: tuple) -> pd.DataFrame:
+        return pd.DataFrame({"t": int(t.max()) + np.arange(1, h + 1), "forecast": _extend(values, order, period, h)})
+
+    return _by_order(df, choose_order(df, keys, y, orders, period), list(keys), y, ahead, "t int, forecast double")
+
+
+def arima_fitted(df: DataFrame, keys: Keys, y: str, orders: Sequence[tuple] | None = None, period: int = 12) -> DataFrame:
+    """One-step fits and innovations of the order chosen: (keys..., p, d, q, seasonal, aicc, t, y, fitted, e).
+
+    The first months, which the order's lags and differences consume, have none and no row.
+    """
+
+    def steps(values: np.ndarray, t: np.ndarray, order: tuple) -> pd.DataFrame:
+        _, _, _, shocks, _, start = _two_stage(values, order, period, 0)
+        e = shocks[start - (len(values) - len(shocks)) :]
+        return pd.DataFrame({"t": t[start:], "y": values[start:], "fitted": values[start:] - e, "e": e})
+
+    return _by_order(df, choose_order(df, keys, y, orders, period), list(keys), y, steps, "t int, y double, fitted double, e double")
