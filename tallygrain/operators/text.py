@@ -15,10 +15,14 @@ from tallygrain.session import materialize
 # Entities decoded in extracted text, the ampersand last.
 ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
 
-# Common English words left out of term statistics; pass another list to change it.
-STOP_WORDS = """a about after all also an and any are as at be because been but by can could do for from get had has have he her him his how i if in into is
-it its just like me more my no not of on one only or other our out over she so some than that the their them then there these they this to up us was we
-were what when which who will with would you your""".split()
+# The English stop words of Spark ML, contractions by the parts that TOKEN makes of them, and some more that are common in reviews; pass
+# another list to change it.
+STOP_WORDS = """i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its itself they them their
+theirs themselves what which who whom this that these those am is are was were be been being have has had having do does did doing a an the and but if
+or because as until while of at by for with about against between into through during before after above below to from up down in out on off over under
+again further then once here there when where why how all any both each few more most other some such no nor not only own same so than too very s t can
+will just don should now ll re ve isn aren wasn weren haven hasn hadn doesn didn won wouldn shan shouldn mustn couldn cannot could let ought would
+also get like one us""".split()
 
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 

@@ -90,3 +90,12 @@ def test_a_topic_step_is_expectation_maximization(spark):
     assert alone == pytest.approx([1 / 3] * 3)
     words = tx.topic_words(model, vocabulary, 2).collect()
     assert {r.term for r in words} <= set(w) and all(0 < r.weight < 1 for r in words)
+
+
+def test_stop_words_hold_the_list_of_spark(spark):
+    """Every word of Spark's own list goes, contractions too."""
+    from pyspark.ml.feature import StopWordsRemover
+
+    words = StopWordsRemover.loadDefaultStopWords("english")
+    df = spark.createDataFrame([(" ".join(words) + " lunch isn't bad; they'll say so",)], "t string")
+    assert df.select(tx.tokens(F.col("t"))).first()[0] == ["lunch", "bad", "say"]
