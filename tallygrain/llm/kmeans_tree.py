@@ -223,8 +223,11 @@ class Index:
         # Equal vectors are one row with the smallest of their ids, which decide every tie.
         order = Window.partitionBy("v").orderBy("id")
         first = usable.distinct().withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1)
-        distinct = first.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-        fitted = usable.select("v").distinct().orderBy(F.xxhash64("v")).limit(sample).toArrow()["v"].to_pylist()
+        distinct = materialize(first.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")), "distinct")
+        # Of about twice the sample, which a bound on the hash lets through, the smallest hashes: no task sorts more than that.
+        share = min(1.0, 2 * sample / max(1, distinct.count()))
+        few = distinct.where(F.xxhash64("v") <= F.lit(min((1 << 63) - 1, round(share * (1 << 64)) - (1 << 63))).cast("long"))
+        fitted = few.select("v").orderBy(F.xxhash64("v")).limit(sample).toArrow()["v"].to_pylist()
         rows = _unit(_matrix(fitted))
         self.total = usable.count()
         self.tree = Tree()
