@@ -8,6 +8,7 @@ import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ CONSTANT = 0.5
 #: Blocks of this many words and more tell stories apart, by the least hash of SHINGLE words, which near copies mostly share.
 STORY_WORDS = 20
 SHINGLE = 5
-#: Runs of siblings that differ between two pages are matched by a table of so many cells, beyond it by their number among equal labels.
+#: Runs of siblings that differ between two pages are matched with so many cells in memory at a time; the result does not depend on it.
 TABLE_CELLS = 250_000
 #: What the words of classes speak against stays if less than this share of a page's varying text stands elsewhere.
 REMAINDER = 0.1
@@ -186,53 +187,59 @@ def _tree(text: str) -> tuple[list[str], list[list[int]]]:
     return labels, children
 
 
-def _shapes(labels: list[str], children: list[list[int]], numbers: dict[tuple, int]) -> tuple[list[int], list[int]]:
-    """Per node the number of its subtree, equal for equal ones, and the subtree's size."""
-    shape, size = [0] * len(labels), [1] * len(labels)
+def _shapes(labels: list[str], children: list[list[int]], numbers: dict[tuple, int]) -> list[int]:
+    """Per node the number of its subtree, equal for equal ones and larger than those of its children."""
+    shape = [0] * len(labels)
     for x in range(len(labels) - 1, -1, -1):
         shape[x] = numbers.setdefault((labels[x], *(shape[c] for c in children[x])), len(numbers))
-        size[x] += sum(size[c] for c in children[x])
-    return shape, size
-
-
-def _candidates(left: list[int], right: list[int], labels: list[str], others: list[str]) -> list[tuple[int, int]]:
-    """Places of pairs that a matching may choose: all with equal labels, or where these are too many, the n-th with the n-th of a label."""
-    if len(left) * len(right) <= TABLE_CELLS:
-        return [(i, j) for i, x in enumerate(left) for j, y in enumerate(right) if labels[x] == others[y]]
-    at: dict[str, list[int]] = {}
-    for j, y in enumerate(right):
-        at.setdefault(others[y], []).append(j)
-    nth: dict[str, int] = {}
-    out = []
-    for i, x in enumerate(left):
-        n = nth[labels[x]] = nth.get(labels[x], -1) + 1
-        if n < len(places := at.get(labels[x], ())):
-            out.append((i, places[n]))
-    return out
-
-
-def _heaviest(pairs: list[tuple[int, int]], weights: list[int], width: int) -> list[int]:
-    """Pairs of the heaviest selection in which both places rise, by prefix maxima over the second place."""
-    best: list[tuple[int, int]] = [(0, -1)] * (width + 1)  # a Fenwick tree of (weight, last pair)
-    before, upto = [-1] * len(pairs), 0
-    order = sorted(range(len(pairs)), key=lambda k: (pairs[k][0], -pairs[k][1]))  # a place on the left is used once
-    for k in order:
-        at, top = pairs[k][1], (0, -1)
-        while at > 0:
-            top = max(top, best[at])
-            at -= at & -at
-        before[k], entry, at = top[1], (top[0] + weights[k], k), pairs[k][1] + 1
-        while at <= width:
-            best[at] = max(best[at], entry)
-            at += at & -at
-    top, at = (0, -1), width
-    while at > 0:
-        top = max(top, best[at])
-        at -= at & -at
-    upto, out = top[1], []
-    while upto >= 0:
-        out.append(upto)
-        upto = before[upto]
+    return shape
+
+
+def _ends(left: tuple[int, ...], right: tuple[int, ...], forms: list[tuple]) -> tuple[list[tuple[int, int]], list[int], list[int]]:
+    """Places of equal shapes at both ends, which are paired, and the places between them whose labels are on both sides."""
+    low, least = 0, min(len(left), len(right))
+    while low < least and left[low] == right[low]:
+        low += 1
+    high = 0
+    while high < least - low and left[-1 - high] == right[-1 - high]:
+        high += 1
+    ends = [*zip(range(low), range(low)), *zip(range(len(left) - high, len(left)), range(len(right) - high, len(right)))]
+    mine, theirs = ({forms[x][0] for x in side[low : len(side) - high]} for side in (left, right))
+    a = [i for i in range(low, len(left) - high) if forms[left[i]][0] in theirs]
+    b = [j for j in range(low, len(right) - high) if forms[right[j]][0] in mine]
+    while a and b and left[a[-1]] == right[b[-1]]:
+        ends.append((a.pop(), b.pop()))
+    return ends, a, b
+
+
+def _best(first: np.ndarray, left: list[int], right: np.ndarray, weights: dict[int, np.ndarray]) -> Iterator[np.ndarray]:
+    """After each place on the left, the weight of the heaviest selection within the first 0, 1, 2, ... places on the right; ``first`` stands before them."""
+    for x in left:
+        now = first.copy()
+        np.maximum(now[1:], first[:-1] + weights[x][right], out=now[1:])
+        yield (first := np.maximum.accumulate(now))
+
+
+def _heaviest(first: np.ndarray, left: list[int], right: np.ndarray, weights: dict[int, np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs of the heaviest selection in which both places rise; of several, that whose last pair has the largest places, and so on to the first.
+
+    Rows of weights are kept up to TABLE_CELLS, more are halved and made anew: this costs time, and changes neither the weight nor the choice.
+    """
+    if len(left) > 1 and len(left) * len(right) > TABLE_CELLS:
+        half = len(left) // 2
+        for middle in _best(first, left[:half], right, weights):
+            pass
+        late = _heaviest(middle, left[half:], right, weights)
+        width = late[0][1] if late else len(right)
+        return _heaviest(first[: width + 1], left[:half], right[:width], weights) + [(half + i, j) for i, j in late]
+    rows = [first, *_best(first, left, right, weights)]
+    out, width, weight = [], len(right), rows[-1][-1]
+    for i in range(len(left) - 1, -1, -1):
+        own = weights[left[i]][right[:width]]
+        if len(at := np.flatnonzero((own > 0) & (rows[i][:width] + own == weight))):
+            width = int(at[-1])
+            weight = rows[i][width]
+            out.append((i, width))
     return out[::-1]
 
 
@@ -240,49 +247,62 @@ def _heaviest(pairs: list[tuple[int, int]], weights: list[int], width: int) -> l
 def align(own: str, reference: str) -> tuple[int, ...]:
     """For each node of ``own`` its partner in ``reference`` or -1, by simple tree matching: most pairs of equal labels that keep parents and order.
 
-    Equal subtrees match whole; equal siblings at both ends are paired first, which loses nothing. What is left in the middle is matched by
-    all pairs of equal labels up to TABLE_CELLS, beyond it by the n-th of each label, so that memory stays linear.
+    Equal subtrees match whole; equal siblings at both ends are paired first, which loses nothing. What is left in the middle is matched
+    by the same rule at any length: time grows with the product of both lengths, memory with their sum and the pairs of different shapes.
     """
     if own == reference:
         return tuple(range(own.count("\n") + 1))
     labels, children = _tree(own)
     others, grandchildren = _tree(reference)
     numbers: dict[tuple, int] = {}
-    shape, size = _shapes(labels, children, numbers)
-    shapes, _ = _shapes(others, grandchildren, numbers)
-    known: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
-    waiting: dict[tuple[int, int], tuple] = {}
-    todo = [(0, 0)]
+    shapes = _shapes(others, grandchildren, numbers)
+    width = len(numbers)
+    shape = _shapes(labels, children, numbers)
+    forms, size = list(numbers), []
+    for form in forms:
+        size.append(1 + sum(size[c] for c in form[1:]))
+    weights: dict[int, np.ndarray] = {}  # per shape of ``own`` the pairs it makes with each shape of ``reference``; 0: other label or not known yet
+
+    def open_pairs(left: list[int], right: list[int]) -> Iterator[tuple[int, int]]:
+        named: dict[str, list[int]] = {}
+        for y in dict.fromkeys(right):
+            named.setdefault(forms[y][0], []).append(y)
+        for x in dict.fromkeys(left):
+            row = weights.setdefault(x, np.zeros(width, np.int32))
+            for y in named.get(forms[x][0], ()):
+                if x == y or len(forms[x]) == 1 or len(forms[y]) == 1:
+                    row[y] = size[x] if x == y else 1
+                elif not row[y]:
+                    yield x, y
+
+    weights[shape[0]] = np.zeros(width, np.int32)
+    todo = [(shape[0], shapes[0])]
     while todo:  # without recursion: pages may be nested deeply
-        a, b = todo[-1]
-        if (a, b) in known:
+        s, t = todo[-1]
+        if weights[s][t]:
             todo.pop()
             continue
-        if (a, b) not in waiting:
-            left, right = children[a], grandchildren[b]
-            low = 0
-            while low < min(len(left), len(right)) and shape[left[low]] == shapes[right[low]]:
-                low += 1
-            high = 0
-            while high < min(len(left), len(right)) - low and shape[left[-1 - high]] == shapes[right[-1 - high]]:
-                high += 1
-            ends = [*zip(left[:low], right[:low]), *zip(left[len(left) - high :], right[len(right) - high :])]
-            left, right = left[low : len(left) - high], right[low : len(right) - high]
-            places = _candidates(left, right, labels, others)
-            waiting[a, b] = ends, [(left[i], right[j]) for i, j in places], places, len(right)
-            if missing := [(x, y) for x, y in waiting[a, b][1] if shape[x] != shapes[y] and (x, y) not in known]:
-                todo += missing
-                continue
-        ends, pairs, places, width = waiting.pop((a, b))
-        weights = [size[x] if shape[x] == shapes[y] else known[x, y][0] for x, y in pairs]
-        chosen = _heaviest(places, weights, width)
-        known[a, b] = 1 + sum(size[x] for x, _ in ends) + sum(weights[k] for k in chosen), ends + [pairs[k] for k in chosen]
+        ends, a, b = _ends(forms[s][1:], forms[t][1:], forms)
+        left, right = [forms[s][1 + i] for i in a], [forms[t][1 + j] for j in b]
+        if missing := [*open_pairs(left, right)]:
+            todo += missing
+            continue
+        best = np.zeros(len(right) + 1, np.int32)
+        for best in _best(best, left, np.array(right, np.int64), weights):
+            pass
+        weights[s][t] = 1 + sum(size[forms[s][1 + i]] for i, _ in ends) + best[-1]
         todo.pop()
     partner, follow = [-1] * len(labels), [(0, 0)]
     while follow:
-        a, b = follow.pop()
-        partner[a] = b
-        follow += zip(children[a], grandchildren[b]) if shape[a] == shapes[b] else known[a, b][1]
+        x, y = follow.pop()
+        partner[x] = y
+        if shape[x] == shapes[y]:
+            follow += zip(children[x], grandchildren[y])
+        elif children[x] and grandchildren[y]:
+            ends, a, b = _ends(forms[shape[x]][1:], forms[shapes[y]][1:], forms)
+            right = np.array([forms[shapes[y]][1 + j] for j in b], np.int64)
+            chosen = _heaviest(np.zeros(len(b) + 1, np.int32), [forms[shape[x]][1 + i] for i in a], right, weights)
+            follow += [(children[x][i], grandchildren[y][j]) for i, j in ends + [(a[i], b[j]) for i, j in chosen]]
     return tuple(partner)
 
 

@@ -57,6 +57,31 @@ def test_matching_agrees_with_brute_force():
         assert used == sorted(set(used)) and all(labels[x] == others[p] for x, p in enumerate(partner) if p >= 0)
 
 
+@pytest.mark.parametrize("cells", [1, 6, w.TABLE_CELLS])
+def test_matching_does_not_depend_on_the_cells_in_memory(monkeypatch, cells):
+    rng = random.Random(8)
+    pairs = [(random_tree(rng, rng.randint(0, 14)), random_tree(rng, rng.randint(0, 14))) for _ in range(200)]
+    expected = [w.align(a, b) for a, b in pairs]
+    monkeypatch.setattr(w, "TABLE_CELLS", cells)
+    w.align.cache_clear()
+    got = [w.align(a, b) for a, b in pairs]
+    w.align.cache_clear()
+    assert got == expected and [sum(p >= 0 for p in x) for x in got] == [most_pairs(a, b) for a, b in pairs]
+
+
+def test_long_runs_that_differ_match_exactly():
+    rng = random.Random(9)
+    a, b = ([rng.choice("abc") for _ in range(900)] for _ in range(2))  # over 250,000 cells
+    most = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(max(most[j + 1], new[j], most[j] + (x == y)))
+        most = new
+    partner = w.align("\n".join(["0 ", *(f"1 {x}" for x in a)]), "\n".join(["0 ", *(f"1 {y}" for y in b)]))
+    assert sum(p >= 0 for p in partner) == 1 + most[-1]
+
+
 def test_long_pages_match_in_linear_memory():
     body = [f"1 {'h2' if i % 2 else 'p'}" for i in range(40_000)]
     own, longer = "\n".join(["0 ", *body]), "\n".join(["0 ", "1 q", *body[:20_000], "1 z", *body[20_000:], "1 r"])
