@@ -26,7 +26,10 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates: five-word shingles, Jaccard similarity of 0.8 or more."""
+    """The document with the smallest id of each group of near duplicates: five-word shingles, Jaccard similarity of 0.8 or more.
+
+    SimHash fingerprints and ball hashing link texts first, MinHash bands those that are beyond three bits; shingle sets decide.
+    """
     ready(spark)
     return one_of_each(docs)
 

@@ -1,4 +1,5 @@
-"""Near duplicates by the Jaccard similarity of their word shingles: MinHash bands propose pairs, the shingle sets decide."""
+"""Near duplicates by the Jaccard similarity of their word shingles: SimHash fingerprints that ball hashing brings together, then MinHash bands
+for what these cannot reach, propose pairs; the shingle sets decide."""
 
 from __future__ import annotations
 
@@ -10,6 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallygrain.llm import simhash_dedup
 from tallygrain.llm.common import fresh, require, ship_by_value
 from tallygrain.llm.graph import components
 from tallygrain.llm.url_filter import BITS_PER_KEY, MAX_WORDS, build, encode
@@ -51,8 +53,11 @@ def bands(values: np.ndarray) -> list[int]:
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingles(t) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(bands, sets)), pa.list_(pa.int64()))], ["s", "n", "keys"])
+        texts = batch.column(1).to_pylist()
+        sets = [shingles(t) for t in texts]
+        prints = np.array([simhash_dedup.fingerprint(t) for t in texts], np.uint64).view(np.int64)
+        columns = [batch.column(0), pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(bands, sets)), pa.list_(pa.int64())), pa.array(prints)]
+        yield pa.RecordBatch.from_arrays(columns, ["s", "n", "keys", "fp"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,22 +144,42 @@ def _crowd_links(crowded: DataFrame, links: DataFrame, texts: DataFrame, similar
     return stars.unionByName(_verified(_rare_pairs(placed, materialize(now, "crowd-roots"), similarity), texts, similarity))
 
 
+def _by_fingerprint(marked: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``(a, b)`` of the similarity among texts (``s``, ``n``, ``fp``) whose SimHash fingerprints are equal or linked by ball hashing.
+
+    The texts of a fingerprint are compared with the least of them, linked fingerprints by the least text of each, so that a crowd costs a pair a text.
+    """
+    prints = materialize(marked.groupBy("fp").agg(F.min(F.struct("s", "n")).alias("least")).select("fp", F.col("least.s").alias("least"), F.col("least.n").alias("least_n")), "prints")
+    same = marked.join(prints, "fp").where(F.col("s") != F.col("least")).select(F.col("least").alias("a"), F.col("s").alias("b"), F.col("least_n").alias("a_n"), F.col("n").alias("b_n"))
+    left, right = (prints.select(F.col("fp").alias(x), F.col("least").alias(f"{x}_s"), F.col("least_n").alias(f"{x}_n")) for x in "ab")
+    near = simhash_dedup.links(prints).join(left, "a").join(right, "b").select(F.col("a_s").alias("a"), F.col("b_s").alias("b"), "a_n", "b_n")
+    return _verified(same.unionByName(near).where(_may(F.col("a_n"), F.col("b_n"), similarity)).select("a", "b").distinct(), texts, similarity)
+
+
 def links(texts: DataFrame, similarity: float = SIMILARITY, crowd: int = CROWD) -> DataFrame:
-    """Pairs ``(a, b)`` that connect what pairs of the similarity connect, among different texts ``s``, ``text`` that meet in a band.
+    """Pairs ``(a, b)`` that connect what pairs of the similarity connect, among different texts ``s``, ``text`` with near fingerprints or a common band.
+
+    Fingerprints of ``simhash_dedup`` come first: what ball hashing links and the shingle sets confirm is not compared again. Texts of the
+    similarity differ in ten bits on average, so most links are beyond three bits, and bands bring these texts together.
 
     In each bucket all texts are first compared with the least one, so that a crowd of near copies costs a pair a text. What this leaves in different
     components is compared pair by pair in buckets of up to ``crowd`` texts; the texts of larger ones are compared with the
     most central one, then by their rare shingles, which is exact. Buckets are counted before their rows meet, and no bucket is capped.
     """
-    marked = materialize(texts.mapInArrow(_keys, "s binary, n long, keys array<long>").groupBy("s").agg(F.first("n").alias("n"), F.first("keys").alias("keys")), "marked")
+    kinds = "s binary, n long, keys array<long>, fp long"
+    marked = materialize(texts.mapInArrow(_keys, kinds).groupBy("s").agg(*[F.first(c).alias(c) for c in ("n", "keys", "fp")]), "marked")
+    near = _by_fingerprint(marked, texts, similarity)
+    family = materialize(components(near).select(F.col("node").alias("f"), F.col("root").alias("family")), "families")
     keyed = marked.select("s", "n", F.explode("keys").alias("key"))
     buckets = materialize(keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
     maybe = _among(buckets.select("key"), buckets.count(), F.col("key"), 15000)
-    met = materialize((keyed if maybe is None else keyed.where(maybe)).join(buckets.hint("merge"), "key"), "met")
-    least = met.groupBy("key").agg(F.min(F.struct("s", "n")).alias("least")).select("key", F.col("least.s").alias("least"), F.col("least.n").alias("least_n"))
+    joined = (keyed if maybe is None else keyed.where(maybe)).join(buckets.hint("merge"), "key").join(family, F.col("s") == F.col("f"), "left")
+    met = materialize(joined.select("key", "s", "n", "size", F.coalesce("family", "s").alias("family")), "met")
+    least = met.groupBy("key").agg(F.min(F.struct("s", "n", "family")).alias("l")).select("key", F.col("l.s").alias("least"), F.col("l.n").alias("least_n"), F.col("l.family").alias("least_family"))
     shared = materialize(met.join(least, "key"), "shared")
-    stars = shared.where((F.col("s") != F.col("least")) & _may(F.col("n"), F.col("least_n"), similarity)).select(F.col("least").alias("a"), F.col("s").alias("b")).distinct()
-    first = _verified(stars, texts, similarity)
+    apart = (F.col("family") != F.col("least_family")) & _may(F.col("n"), F.col("least_n"), similarity)
+    stars = shared.where(apart).select(F.col("least").alias("a"), F.col("s").alias("b")).distinct()
+    first = near.unionByName(_verified(stars, texts, similarity))
     roots = materialize(components(first).select(F.col("node").alias("k"), "root"), "roots")
     members = materialize(shared.join(roots, shared["s"] == roots["k"], "left").select("key", "s", "n", "least", "size", F.coalesce("root", "s").alias("root")), "members")
     apart = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")

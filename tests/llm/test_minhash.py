@@ -5,7 +5,7 @@ import random
 import corpus_pipeline
 import pytest
 
-from tallygrain.llm import minhash_dedup
+from tallygrain.llm import minhash_dedup, simhash_dedup
 from tallygrain.llm.common import ready
 
 
@@ -73,3 +73,23 @@ def test_crowded_buckets_lose_no_link(spark):
     for i, t in docs:
         firsts[root[t]] = min(i, firsts.get(root[t], i))
     assert sorted(firsts.values()) == kept_by_definition(docs)
+
+
+def test_fingerprints_link_and_shingles_decide(spark, monkeypatch):
+    """Without any band: what ball hashing links goes if it has the similarity, and stays if only its fingerprint is near."""
+    monkeypatch.setattr(minhash_dedup, "bands", lambda values: [])
+    rng = random.Random(7)
+    docs, near = [], []
+    for family in range(6):
+        words = [f"{family}w{i}" for i in range(400)]
+        first = simhash_dedup.fingerprint(" ".join(words))
+        docs.append((family, " ".join(words)))
+        for number in range(20):
+            copy = list(words)
+            copy[rng.randrange(400)] = f"new{number}"
+            if 0 < (simhash_dedup.fingerprint(" ".join(copy)) ^ first).bit_count() <= 3:
+                near.append((100 + 20 * family + number, " ".join(copy)))
+    same = [(1000 + k, "the same three " * 200 + " ".join(f"{k}own{i}" for i in range(40))) for k in range(2)]
+    assert len(near) > 20 and len({simhash_dedup.fingerprint(t) for _, t in same}) == 1
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(docs + near + same, "doc_id long, text string"), "")
+    assert sorted(r["doc_id"] for r in got.collect()) == kept_by_definition(docs + near + same) == [0, 1, 2, 3, 4, 5, 1000, 1001]
