@@ -11,9 +11,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallygrain.llm import simhash_dedup
 from tallygrain.llm.common import fresh, require, ship_by_value
 from tallygrain.llm.graph import components
+from tallygrain.llm.simhash_dedup import fingerprint
+from tallygrain.llm.simhash_dedup import links as ball_links
 from tallygrain.llm.url_filter import BITS_PER_KEY, MAX_WORDS, build, encode
 from tallygrain.session import materialize
 
@@ -55,7 +56,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(1).to_pylist()
         sets = [shingles(t) for t in texts]
-        prints = np.array([simhash_dedup.fingerprint(t) for t in texts], np.uint64).view(np.int64)
+        prints = np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64)
         columns = [batch.column(0), pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(bands, sets)), pa.list_(pa.int64())), pa.array(prints)]
         yield pa.RecordBatch.from_arrays(columns, ["s", "n", "keys", "fp"])
 
@@ -152,7 +153,7 @@ def _by_fingerprint(marked: DataFrame, texts: DataFrame, similarity: float) -> D
     prints = materialize(marked.groupBy("fp").agg(F.min(F.struct("s", "n")).alias("least")).select("fp", F.col("least.s").alias("least"), F.col("least.n").alias("least_n")), "prints")
     same = marked.join(prints, "fp").where(F.col("s") != F.col("least")).select(F.col("least").alias("a"), F.col("s").alias("b"), F.col("least_n").alias("a_n"), F.col("n").alias("b_n"))
     left, right = (prints.select(F.col("fp").alias(x), F.col("least").alias(f"{x}_s"), F.col("least_n").alias(f"{x}_n")) for x in "ab")
-    near = simhash_dedup.links(prints).join(left, "a").join(right, "b").select(F.col("a_s").alias("a"), F.col("b_s").alias("b"), "a_n", "b_n")
+    near = ball_links(prints).join(left, "a").join(right, "b").select(F.col("a_s").alias("a"), F.col("b_s").alias("b"), "a_n", "b_n")
     return _verified(same.unionByName(near).where(_may(F.col("a_n"), F.col("b_n"), similarity)).select("a", "b").distinct(), texts, similarity)
 
 
