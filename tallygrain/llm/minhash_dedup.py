@@ -180,8 +180,9 @@ def links(texts: DataFrame, similarity: float = SIMILARITY, crowd: int = CROWD)
     shared = materialize(met.join(least, "key"), "shared")
     apart = (F.col("family") != F.col("least_family")) & _may(F.col("n"), F.col("least_n"), similarity)
     stars = shared.where(apart).select(F.col("least").alias("a"), F.col("s").alias("b")).distinct()
-    first = near.unionByName(_verified(stars, texts, similarity))
-    roots = materialize(components(first).select(F.col("node").alias("k"), "root"), "roots")
+    starred = _verified(stars, texts, similarity)
+    # Families stand for what made them: they are contracted already.
+    roots = materialize(components(family.select(F.col("f").alias("a"), F.col("family").alias("b")).unionByName(starred)).select(F.col("node").alias("k"), "root"), "roots")
     members = materialize(shared.join(roots, shared["s"] == roots["k"], "left").select("key", "s", "n", "least", "size", F.coalesce("root", "s").alias("root")), "members")
     apart = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
     open_ = materialize(members.join(apart, "key", "left_semi"), "open")
@@ -189,9 +190,11 @@ def links(texts: DataFrame, similarity: float = SIMILARITY, crowd: int = CROWD)
     left = few.select("key", "least", F.col("s").alias("a"), F.col("n").alias("a_n"), F.col("root").alias("a_root"))
     right = few.select("key", F.col("s").alias("b"), F.col("n").alias("b_n"), F.col("root").alias("b_root"))
     other = (F.col("a") < F.col("b")) & (F.col("a") != F.col("least")) & (F.col("a_root") != F.col("b_root")) & _may(F.col("a_n"), F.col("b_n"), similarity)
-    first = first.unionByName(_verified(left.join(right, "key").where(other).select("a", "b").distinct(), texts, similarity))
+    paired = _verified(left.join(right, "key").where(other).select("a", "b").distinct(), texts, similarity)
+    first = near.unionByName(starred).unionByName(paired)
     crowded = open_.where(F.col("size") > crowd).select("key", "s", "n", "root")
-    return first if crowded.isEmpty() else first.unionByName(_crowd_links(crowded, first, texts, similarity))
+    known = roots.select(F.col("k").alias("a"), F.col("root").alias("b")).unionByName(paired)
+    return first if crowded.isEmpty() else first.unionByName(_crowd_links(crowded, known, texts, similarity))
 
 
 def without(rows: DataFrame, key: Column, universe: DataFrame, name: str) -> DataFrame:
