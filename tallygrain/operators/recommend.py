@@ -4,7 +4,8 @@ Ratings meet at the key they share, and pairs are summed before they are shuffle
 ratings is dealt into a grid of cells by its degree (``grid_sums``), so that no task holds all its pairs; keys
 with few ratings, nearly all of them, are one cell and are not copied. Tables that fill their blocks are
 multiplied as dense blocks instead (``pair_sums``), which takes a copy of a rating for each block of the other side; ``co_rated``
-chooses by the number of pairs that a block would hold.
+chooses by the number of pairs that a block would hold. Where only the nearest rows are wanted, full blocks give these and no pairs
+(``nearest_rows``), and their weighted sums are taken block by block too (``spread_sums``): what is shuffled grows with the rows and the blocks, not with the pairs.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -178,6 +180,14 @@ FULL_BLOCK = 10_000
 def co_rated(left: DataFrame, right: DataFrame, row: str, column: str, value: str, fold: Callable[[Column], Column] | None = None, ordered: bool = False,
              block_rows: int = 1024, block_columns: int = 4096, full_block: int = FULL_BLOCK) -> DataFrame:
     """The sums of ``grid_sums``, by dense blocks where these hold ``full_block`` pairs on average; the result does not depend on that."""
+    if not _fills_blocks(left, right, row, column, block_rows, block_columns, full_block):
+        return grid_sums(left, right, row, column, value, fold, ordered=ordered)
+    sums = pair_sums(left, right, row, column, value, fold, block_rows, block_columns)
+    return sums.where(F.col("a") < F.col("b")) if ordered else sums
+
+
+def _fills_blocks(left: DataFrame, right: DataFrame, row: str, column: str, block_rows: int = 1024, block_columns: int = 4096, full_block: int = FULL_BLOCK) -> bool:
+    """Whether blocks hold ``full_block`` pairs on average."""
     def degrees(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy(F.col(column).alias("c")).agg(F.count("*").alias(name))
 
@@ -186,10 +196,7 @@ def co_rated(left: DataFrame, right: DataFrame, row: str, column: str, value: st
 
     met = degrees(left, "l").join(degrees(right, "r"), "c").agg(F.sum(F.col("l").cast("double") * F.col("r")).alias("pairs"), F.count("*").alias("c")).first()
     tiles = blocks(left) * blocks(right) * -(-met["c"] // block_columns)
-    if (met["pairs"] or 0.0) < full_block * tiles:
-        return grid_sums(left, right, row, column, value, fold, ordered=ordered)
-    sums = pair_sums(left, right, row, column, value, fold, block_rows, block_columns)
-    return sums.where(F.col("a") < F.col("b")) if ordered else sums
+    return (met["pairs"] or 0.0) >= full_block * tiles
 
 
 def cosine(sums: DataFrame, min_overlap: int = 2) -> DataFrame:
@@ -211,13 +218,210 @@ def nearest(sims: DataFrame, k: int, by: Sequence[str] = ("a",)) -> DataFrame:
     return sims.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= k).drop("_rank")
 
 
+# --- nearest rows without their pairs ------------------------------------------
+
+#: Rows of a block on the left, and entries of a block on the right, about. A task has a block of each.
+LEFT_ROWS, RIGHT_ENTRIES = 4096, 4_000_000
+#: Rows of both sides that a task compares at once, and columns of a matrix.
+TILE_ROWS, TILE_COLUMNS = (1024, 2048), 1024
+#: Products of two entries that cost as much as this many cells of a matrix product.
+ENTRY_COST = 128
+
+
+def packed(df: DataFrame, keys: Sequence[str], column: str, value: str) -> DataFrame:
+    """(keys, ``c``, ``v``): a row per key with its columns and values as arrays; NULL columns and values take no part."""
+    base = df.select(*keys, F.col(column).cast("bigint").alias("c"), F.col(value).cast("double").alias("v")).where("c is not null and v is not null")
+    return base.groupBy(*keys).agg(F.collect_list(F.struct("c", "v")).alias("p")).select(*keys, F.col("p.c").alias("c"), F.col("p.v").alias("v"))
+
+
+def _block(key: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+
+
+def _copied(blocks: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+
+class _Rows:
+    """Packed rows in the order of their keys: ``key``, and the entries ``at`` (row), ``c``, ``v`` in that order."""
+
+    def __init__(self, table: pa.Table, key: str):
+        keys, lists = table[key].to_numpy(), table["c"].combine_chunks()
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+        self.order = np.argsort(keys, kind="stable")
+        self.key = keys[self.order]
+        place = np.empty(len(keys), np.int64)
+        place[self.order] = np.arange(len(keys))
+        at = np.repeat(place, sizes)
+        by = np.argsort(at, kind="stable")
+        self.at, self.c, self.v = at[by], lists.flatten().to_numpy()[by], table["v"].combine_chunks().flatten().to_numpy()[by]
+        self.starts = np.searchsorted(self.at, np.arange(len(keys) + 1))
+
+    def tile(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        x = slice(self.starts[lo], self.starts[min(hi, len(self.key))])
+        return self.at[x] - lo, self.c[x], self.v[x]
+
+
+def _expanded(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the given ranges all its places: (number of the range, place)."""
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes - starts, sizes)
+
+
+def _tile_sums(x: tuple, y: tuple, shape: tuple[int, int]) -> list[np.ndarray]:
+    """Matrices dot, aa, bb, n of two tiles of entries (row, column, value), by products of matrices or of single entries, whichever is less work."""
+    columns = np.intersect1d(x[1], y[1])
+    x, y = ([e[np.isin(t[1], columns)] for e in t] for t in (x, y))
+    sums = [np.zeros(shape) for _ in range(4)]
+    (xi, xc, xv), (yi, yc, yv) = ((t[0], np.searchsorted(columns, t[1]), t[2]) for t in (x, y))
+    each = np.bincount(yc, minlength=len(columns))
+    if ENTRY_COST * int(each[xc].sum()) < shape[0] * shape[1] * len(columns):
+        by = np.argsort(yc, kind="stable")
+        yi, yv, first = yi[by], yv[by], np.cumsum(each) - each
+        cut = np.searchsorted(np.cumsum(each[xc]), np.arange(1 << 21, int(each[xc].sum()) + (1 << 21), 1 << 21), side="right")
+        for lo, hi in zip([0, *cut], [*cut, len(xc)]):
+            of, place = _expanded(first[xc[lo:hi]], each[xc[lo:hi]])
+            cell, u, w = xi[lo:hi][of] * shape[1] + yi[place], xv[lo:hi][of], yv[place]
+            for total, part in zip(sums, (u * w, u * u, w * w, None)):
+                total += np.bincount(cell, part, shape[0] * shape[1]).reshape(shape)
+        return sums
+    for lo in range(0, len(columns), TILE_COLUMNS):
+        width = min(TILE_COLUMNS, len(columns) - lo)
+
+        def matrices(i: np.ndarray, c: np.ndarray, v: np.ndarray, rows: int) -> list[np.ndarray]:
+            here = (c >= lo) & (c < lo + width)
+            cell, v = i[here] * width + c[here] - lo, v[here]
+            return [np.bincount(cell, part, rows * width).reshape(rows, width).astype(float) for part in (v, v * v, None)]
+
+        (a, a2, has_a), (b, b2, has_b) = matrices(xi, xc, xv, shape[0]), matrices(yi, yc, yv, shape[1])
+        for total, l, r in zip(sums, (a, a2, has_a, has_a), (b, has_b, b2, has_b)):
+            total += l @ r.T
+    return sums
+
+
+def _first_of(sim: np.ndarray, b: np.ndarray, i: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k largest of each ``i``, the smaller ``b`` on ties, in that order."""
+    order = np.lexsort((b, -sim, i))
+    return order[np.arange(len(i)) - np.searchsorted(i[order], i[order]) < k]
+
+
+def _nearest(left: pa.Table, right: pa.Table, k: int, min_overlap: int, apart: bool) -> pa.Table:
+    """The k nearest rows of ``right`` for each row of ``left``, tile by tile: rows of ``right`` come by key, so that a later one must be nearer to get in."""
+    x, y, step = _Rows(left, "r"), _Rows(right, "r"), 10.0**SIM_DIGITS
+    fold_x, fold_y = left["fold"].to_numpy()[x.order], right["fold"].to_numpy()[y.order]
+    found = []
+    for lo in range(0, len(x.key), TILE_ROWS[0]):
+        own = x.key[lo : lo + TILE_ROWS[0]]
+        i, b, sim, last = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.full(len(own), -np.inf)
+        for at in range(0, len(y.key), TILE_ROWS[1]):
+            other = y.key[at : at + TILE_ROWS[1]]
+            dot, aa, bb, n = _tile_sums(x.tile(lo, lo + len(own)), y.tile(at, at + len(other)), (len(own), len(other)))
+            np.sqrt(np.multiply(aa, bb, out=aa), out=aa)
+            valid = (n >= min_overlap) & (aa > 0)
+            _, p, q = np.intersect1d(own, other, return_indices=True)
+            valid[p, q] = False
+            if apart:
+                valid &= fold_x[lo : lo + len(own), None] != fold_y[None, at : at + len(other)]
+            value = np.divide(dot, aa, out=np.full(dot.shape, -np.inf), where=valid)
+            better = valid & (value > (last + 0.4 / step)[:, None])  # rounded values are whole steps
+            if len(other) > k and np.count_nonzero(better) > 4 * k * len(own):
+                better &= value > (np.partition(value, -k, axis=1)[:, -k] - 2 / step)[:, None]
+            p, q = np.nonzero(better)
+            if not len(p):
+                continue
+            new = value[p, q]
+            i, b, sim = np.append(i, p), np.append(b, other[q]), np.append(sim, np.copysign(np.floor(np.abs(new) * step + 0.5) / step, new) + 0.0)
+            kept = _first_of(sim, b, i, k)
+            i, b, sim = i[kept], b[kept], sim[kept]
+            full = np.flatnonzero(np.arange(len(i)) - np.searchsorted(i, i) == k - 1)
+            last[i[full]] = sim[full]
+        found.append((own[i], b, sim))
+    a, b, sim = (np.concatenate(parts) if parts else np.empty(0) for parts in (list(zip(*found)) or [(), (), ()]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "sim": pa.array(sim, pa.float64())})
+
+
+def nearest_rows(left: DataFrame, right: DataFrame, row: str, column: str, value: str, k: int, min_overlap: int = 2, fold: Callable[[Column], Column] | None = None,
+                 left_rows: int = LEFT_ROWS, right_entries: int = RIGHT_ENTRIES) -> DataFrame:
+    """(a, b, sim): what ``nearest`` keeps of ``cosine`` over all pairs of a row of ``left`` and another row of ``right``; with ``fold``, of another fold.
+
+    Every pair is compared, in blocks, but none leaves its task unless it is among the k nearest of its block. A row is sent once for each block of the other side.
+    """
+    sizes = [df.agg(F.approx_count_distinct(row), F.count("*")).first() for df in (left, right)]
+    lb, rb = max(1, -(-sizes[0][0] // left_rows)), max(1, -(-sizes[1][1] // right_entries))
+
+    def rows(df: DataFrame) -> DataFrame:
+        keyed = df.where(F.col(row).isNotNull()).withColumn("r", F.col(row).cast("bigint"))
+        return packed(keyed, ["r"], column, value).withColumn("fold", fold(F.col("r")).cast("int") if fold else F.lit(0))
+
+    def task(key: tuple, x: pa.Table, y: pa.Table) -> pa.Table:
+        return _nearest(x, y, k, min_overlap, fold is not None)
+
+    blocks = rows(left).withColumn("lb", _block(F.col("r"), lb)).withColumn("rb", _copied(rb))
+    others = rows(right).withColumn("rb", _block(F.col("r"), rb)).withColumn("lb", _copied(lb))
+    # Few bytes, but much work: cells are dealt to as many tasks, which Spark would merge by size.
+    x, y = (df.repartition(2 * lb * rb, "lb", "rb").groupBy("lb", "rb") for df in (blocks, others))
+    return nearest(x.cogroup(y).applyInArrow(task, "a bigint, b bigint, sim double"), k)
+
+
+def neighbours(left: DataFrame, right: DataFrame, row: str, column: str, value: str, k: int, min_overlap: int = 2, fold: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(a, b, sim): the k most similar rows of ``right`` for each row of ``left``; by blocks where these are full, from sums by pair where pairs are few."""
+    if _fills_blocks(left, right, row, column):
+        return nearest_rows(left, right, row, column, value, k, min_overlap, fold)
+    sims = cosine(grid_sums(left, right, row, column, value), min_overlap)
+    if fold is not None:
+        sims = sims.where(fold(F.col("a")) != fold(F.col("b")))
+    return nearest(sims, k).select("a", "b", "sim")
+
+
 # --- models --------------------------------------------------------------------
 
 
-def _predict(weighted: DataFrame, given: DataFrame) -> DataFrame:
-    """Weighted mean of z per (user, item), back on the user's own scale, for items not given."""
-    score = F.try_divide(F.sum(F.col("sim") * F.col("z")), F.sum(F.abs("sim")))
-    raw = weighted.groupBy("user", "item").agg(score.alias("_z")).where(F.col("_z").isNotNull())
+def _spread(rows: pa.Table, lists: pa.Table) -> pa.Table:
+    """Sums by user and item of ``w`` times the values of the list of ``key``, and of the absolute values of both."""
+    y = _Rows(lists, "key")
+    user, key, w = (rows[c].to_numpy() for c in ("user", "key", "w"))
+    place = np.searchsorted(y.key, key)
+    there = np.flatnonzero((place < len(y.key)) & (y.key[np.minimum(place, len(y.key) - 1)] == key)) if len(y.key) else np.empty(0, np.int64)
+    there = there[np.argsort(user[there], kind="stable")]
+    users, at = np.unique(user[there], return_inverse=True)
+    items, c = np.unique(y.c, return_inverse=True)
+    first = y.starts[place[there]]
+    sizes = y.starts[place[there] + 1] - first
+    ends = np.searchsorted(at, np.arange(len(users)), side="right")  # whole users, about so many products at once
+    cuts = np.unique(np.append(ends[np.searchsorted(np.cumsum(sizes)[ends - 1], np.arange(1 << 21, int(sizes.sum()), 1 << 21))], len(there))) if len(there) else []
+    out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0), np.empty(0))]
+    for lo, hi in zip([0, *cuts], cuts):
+        of, entry = _expanded(first[lo:hi], sizes[lo:hi])
+        u, v = w[there[lo:hi]][of], y.v[entry]
+        cell, inverse = np.unique(at[lo:hi][of] * len(items) + c[entry], return_inverse=True)
+        out.append((users[cell // len(items)], items[cell % len(items)], *(np.bincount(inverse, part, len(cell)) for part in (u * v, np.abs(u), np.abs(v)))))
+    return pa.table(dict(zip(["user", "item", "total", "w", "v"], [np.concatenate(parts) for parts in zip(*out)])))
+
+
+def spread_sums(rows: DataFrame, lists: DataFrame, left_rows: int = 2 * LEFT_ROWS, right_entries: int = RIGHT_ENTRIES) -> DataFrame:
+    """(user, item, total, w, v): ``rows`` (user, fold, key, w) joined with ``lists`` (fold, key, item, v), sums of w * v, abs(w) and abs(v).
+
+    Both are dealt into blocks, so that sums are taken before their shuffle, where that copies fewer rows than the join has.
+    """
+    shape, entries = rows.agg(F.approx_count_distinct("user"), F.count("*")).first(), lists.agg(F.count("*"), F.approx_count_distinct(F.struct("fold", "key"))).first()
+    lb, rb = max(1, -(-shape[0] // left_rows)), max(1, -(-entries[0] // right_entries))
+    by = ["user", "item"]
+    if lb * entries[0] > shape[1] * max(1, entries[0] // max(1, entries[1])):
+        joined = rows.join(lists, ["fold", "key"])
+        return joined.groupBy(*by).agg(F.sum(F.col("w") * F.col("v")).alias("total"), F.sum(F.abs("w")).alias("w"), F.sum(F.abs("v")).alias("v"))
+    left = rows.where("user is not null and key is not null and w is not null").select(
+        F.col("user").cast("bigint").alias("user"), "fold", F.col("key").cast("bigint").alias("key"), F.col("w").cast("double").alias("w"))
+    left = left.withColumn("lb", _block(F.col("user"), lb)).withColumn("rb", _block(F.col("key"), rb))
+    right = packed(lists.withColumn("key", F.col("key").cast("bigint")), ["fold", "key"], "item", "v")
+    right = right.withColumn("rb", _block(F.col("key"), rb)).withColumn("lb", _copied(lb))
+    cells = ["fold", "lb", "rb"]
+    sums = left.groupBy(*cells).cogroup(right.groupBy(*cells)).applyInArrow(_spread, "user bigint, item bigint, total double, w double, v double")
+    return sums.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("total", "w", "v")])
+
+
+def _predict(sums: DataFrame, weight: str, given: DataFrame) -> DataFrame:
+    """Weighted mean of z per (user, item), from sums of ``spread_sums``, back on the user's own scale, for items not given."""
+    raw = sums.select("user", "item", F.try_divide("total", weight).alias("_z")).where(F.col("_z").isNotNull())
     unseen = raw.join(given.select("user", "item"), ["user", "item"], "left_anti")
     scale = given.groupBy("user").agg(F.any_value("mean").alias("mean"), F.any_value("sd").alias("sd"))
     return unseen.join(scale, "user").select("user", "item", F.round(F.col("mean") + F.col("_z") * F.col("sd"), RATING_DIGITS).alias("predicted"))
@@ -230,12 +434,10 @@ def ubcf(given: DataFrame, train: DataFrame, nn: int = 50, min_overlap: int = 2,
     are used as they are.
     """
     given, train = _scored(given), _scored(train)
-    sims = cosine(co_rated(given, train, "user", "item", "z"), min_overlap)
-    if fold is not None:
-        sims = sims.where(fold(F.col("a")) != fold(F.col("b")))
-    near = nearest(sims, nn)
-    neighbours = train.select(F.col("user").alias("b"), "item", "z")
-    return _predict(near.join(neighbours, "b").select(F.col("a").alias("user"), "item", "sim", "z"), given)
+    near = materialize(neighbours(given, train, "user", "item", "z", nn, min_overlap, fold), "neighbours")
+    rows = near.select(F.col("a").alias("user"), F.lit(0).alias("fold"), F.col("b").alias("key"), F.col("sim").alias("w"))
+    sums = spread_sums(rows, train.select(F.lit(0).alias("fold"), F.col("user").cast("bigint").alias("key"), "item", F.col("z").alias("v")))
+    return _predict(sums.withColumn("item", F.col("item").cast(train.schema["item"].dataType)), "w", given)
 
 
 def ibcf(given: DataFrame, train: DataFrame, k: int = 30, min_overlap: int = 2, fold: Callable[[Column], Column] | None = None) -> DataFrame:
@@ -261,8 +463,9 @@ def ibcf(given: DataFrame, train: DataFrame, k: int = 30, min_overlap: int = 2,
         rest = each.select("a", "b", "fold", *[(F.col(c) - F.coalesce(F.col(f"own._{c}"), F.lit(0))).alias(c) for c in parts])
         near = nearest(cosine(rest, min_overlap), k, ["fold", "a"])
         rated = given.withColumn("fold", fold(F.col("user")))
-    joined = rated.select("user", "fold", F.col("item").cast("bigint").alias("b"), "z").join(near, ["fold", "b"])
-    return _predict(joined.select("user", F.col("a").alias("item"), "sim", "z"), given)
+    near = materialize(near.select("fold", F.col("b").alias("key"), F.col("a").alias("item"), F.col("sim").alias("v")), "neighbours")
+    sums = spread_sums(rated.select("user", "fold", F.col("item").cast("bigint").alias("key"), F.col("z").alias("w")), near)
+    return _predict(sums.withColumn("user", F.col("user").cast(given.schema["user"].dataType)), "v", given)
 
 
 def top_n(predicted: DataFrame, n: int) -> DataFrame:

@@ -141,3 +141,46 @@ def test_dense_blocks_and_grid_agree(spark):
     for args in (("user", "item", "rating"), ("item", "user", "rating", fold)):
         dense, sparse = ({tuple(r)[:2] + (r["fold"] if "fold" in r else 0,): (r.dot, r.aa, r.bb, r.n) for r in rec.co_rated(ratings, ratings, *args, ordered=True, full_block=full).collect()} for full in (1, 10**9))
         assert dense.keys() == sparse.keys() and all(dense[k] == pytest.approx(sparse[k]) for k in dense)
+
+
+def test_user_pairs_do_not_leave_their_block(spark, monkeypatch):
+    """What is ranked are the nearest of a block, not all pairs of users."""
+    seen, nearest = [], rec.nearest
+    monkeypatch.setattr(rec, "nearest", lambda sims, k, by=("a",): (seen.append(sims.count()), nearest(sims, k, by))[1])
+    ratings = frame(spark, table(seed=5, users=200, items=12, density=0.8))
+    assert rec.ubcf(ratings, ratings, 5).count() > 0
+    assert seen == [200 * 5]
+
+
+@pytest.mark.parametrize("tiles, entry_cost", [((1024, 2048), 128), ((7, 5), 128), ((16, 9), 0), ((16, 9), 10**9)])
+def test_nearest_rows_in_any_blocks(spark, monkeypatch, tiles, entry_cost):
+    """Against all pairs and their rank: ties, repeated ratings, folds, rows that others lack, products of matrices and of entries."""
+    monkeypatch.setattr(rec, "TILE_ROWS", tiles)
+    monkeypatch.setattr(rec, "TILE_COLUMNS", 4)
+    monkeypatch.setattr(rec, "ENTRY_COST", entry_cost)
+    rng = random.Random(6)
+    values = [(u, i, float(rng.choice([-1, 0, 1, 2]))) for u in range(60) for i in range(15) if rng.random() < 0.4]
+    left = spark.createDataFrame([x for x in values if x[0] < 40] + values[:9], "user int, item int, v double")
+    right = spark.createDataFrame([x for x in values if x[0] >= 20] + values[-9:] + [(70, None, 1.0), (70, 3, None), (None, 3, 1.0)], "user int, item int, v double")
+    for fold in (None, rec.k_fold(3)):
+        sims = rec.cosine(rec.grid_sums(left, right, "user", "item", "v"), 2)
+        sims = sims if fold is None else sims.where(fold(F.col("a")) != fold(F.col("b")))
+        expected = sorted((r.a, r.b, r.sim) for r in rec.nearest(sims, 4).collect())
+        got = sorted((r.a, r.b, r.sim) for r in rec.nearest_rows(left, right, "user", "item", "v", 4, 2, fold, left_rows=15, right_entries=60).collect())
+        assert [x[:2] for x in got] == [x[:2] for x in expected] and [x[2] for x in got] == pytest.approx([x[2] for x in expected], abs=2e-9) and got
+
+
+def test_spread_sums_by_blocks_and_by_a_join(spark):
+    rng = random.Random(7)
+    rows = [(rng.randrange(50), rng.randrange(2), rng.randrange(9), rng.random() - 0.5) for _ in range(900)]
+    lists = [(f, k, i, rng.random() - 0.5) for f in range(2) for k in range(3, 12) for i in range(20)]
+    left, right = spark.createDataFrame(rows, "user bigint, fold int, key bigint, w double"), spark.createDataFrame(lists, "fold int, key bigint, item bigint, v double")
+    expected = {}
+    for u, f, k, w in rows:
+        for g, key, i, v in lists:
+            if (f, k) == (g, key):
+                t = expected.setdefault((u, i), [0.0] * 3)
+                t[0], t[1], t[2] = t[0] + w * v, t[1] + abs(w), t[2] + abs(v)
+    for blocks in ({}, {"left_rows": 20, "right_entries": 100}, {"left_rows": 1}):
+        got = {(r.user, r.item): (r.total, r.w, r.v) for r in rec.spread_sums(left, right, **blocks).collect()}
+        assert got.keys() == expected.keys() and all(got[x] == pytest.approx(expected[x]) for x in got)
