@@ -99,3 +99,37 @@ def test_stop_words_hold_the_list_of_spark(spark):
     words = StopWordsRemover.loadDefaultStopWords("english")
     df = spark.createDataFrame([(" ".join(words) + " lunch isn't bad; they'll say so",)], "t string")
     assert df.select(tx.tokens(F.col("t"))).first()[0] == ["lunch", "bad", "say"]
+
+
+def test_topics_in_any_blocks(spark, monkeypatch):
+    """Pairs are written once, whatever the iterations; sums do not depend on the blocks; repeated ids are one document, those without an id only start the fit."""
+    from pathlib import Path
+
+    words = ["apple", "pear", "plum", "wheel", "road", "motor", "cloud"]
+    docs = [(i % 30, " ".join(words[(i * 5 + j * j) % 7] for j in range(4))) for i in range(40)] + [(None, "apple road"), (None, "cloud"), (98, None), (99, "unique")]
+    df = spark.createDataFrame(docs, "id int, t string")
+    materialize, kept = tx.materialize, []
+
+    def recorded(frame, label):
+        out = materialize(frame, label)
+        kept[-1].add(Path(out.inputFiles()[0].removeprefix("file:")).parent)
+        return out
+
+    monkeypatch.setattr(tx, "materialize", recorded)
+
+    def fit(iterations, **blocks):
+        for name, value in blocks.items():
+            monkeypatch.setattr(tx, name, value, raising=False)
+        kept.append(set())
+        vocabulary, model, _ = tx.topic_model(df, "id", "t", k=7, max_iter=iterations)
+        d, w = ({r[0]: r[1:] for r in x.collect()} for x in (model.documents, model.terms))
+        return d, w, model.totals, {r["term"]: r["df"] for r in vocabulary.collect()}
+
+    whole = fit(3)
+    parts = fit(3, BLOCK_CHARS=90, CELL_PAIRS=9, CHUNK=4)
+    for x, y in zip(whole[:2], parts[:2]):
+        assert x.keys() == y.keys() and None not in x and all(x[n] == pytest.approx(y[n]) for n in x)
+    assert whole[2] == pytest.approx(parts[2]) and whole[3] == parts[3] and len(whole[0]) == 30
+    assert None in fit(0)[0] and len(fit(1)[1]) == len(whole[3])
+    left = [sum(x.exists() for x in tables) for tables in kept]
+    assert left[0] == left[1] == left[3] and len(kept[0]) > left[0]  # three iterations leave as much as one
